@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 # Decimal text a metric may be written in; "1.5d", "0x10" or "inf" is no number.
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
-MONEY = "decimal(20,6)"
-
-
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -31,18 +28,28 @@ def ratio_any_sign(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(num / F.nullif(den, F.lit(0.0)), F.lit(0.0))
 
 
-def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double with IEEE arithmetic only, so every engine agrees.
+def rounded(sql: str, digits: int) -> str:
+    """SQL text that rounds a double half up with IEEE arithmetic only.
 
     ``round`` on doubles differs between engines at half-way values. Beyond
     2**53 steps a double has no such digits and is returned as it is, which
     also keeps ``floor`` inside the bigint range.
     """
+    step = f"1e{digits}D"
+    return f"(CASE WHEN abs({sql}) < 9007199254740992D / {step} THEN floor({sql} * {step} + 0.5D) / {step} ELSE {sql} END)"
+
+
+def round_half_up(value: Column | str, digits: int) -> Column:
+    """:func:`rounded` for a Column."""
     v = as_col(value)
     step = float(10**digits)
     return F.when(F.abs(v) < F.lit(2.0**53 / step), F.floor(v * step + 0.5) / F.lit(step)).otherwise(v)
 
 
+def round_columns(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({n: F.expr(rounded(f"`{n}`", digits)) for n in names})
+
+
 def number_or_null(value: Column, data_type: T.DataType) -> Column:
     """Lenient cast to double: text that is not a finite decimal number is null."""
     if isinstance(data_type, T.StringType):
@@ -55,17 +62,27 @@ def is_integral(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def exact_sum(df: DataFrame, name: str, value: Column | None = None) -> Column:
+def exact_sum(df: DataFrame, name: str) -> Column:
     """Sum that does not depend on row order or task retries.
 
-    Integer columns add up as bigint. Doubles are added as fixed-point decimals:
-    a sum of doubles changes with the order in which tasks finish.
+    Integer columns add up as bigint. A sum of doubles changes with the order in
+    which tasks finish, so doubles are split into whole units and millionths,
+    both added up as bigint and put together as a decimal. That is exact to six
+    digits, cannot overflow at any realistic size, and is several times faster
+    than casting every row to decimal.
     """
     data_type = df.schema[name].dataType
-    value = F.col(name) if value is None else value
     if is_integral(data_type):
-        return F.sum(value.cast("bigint"))
-    return F.sum(value.cast(MONEY))
+        return F.expr(f"sum(cast(`{name}` AS bigint))")
+    if isinstance(data_type, T.DecimalType):
+        return F.expr(f"sum(cast(`{name}` AS decimal(20,6)))")
+    return F.expr(exact_sum_sql(f"`{name}`"))
+
+
+def exact_sum_sql(x: str) -> str:
+    """SQL text of :func:`exact_sum` for a double."""
+    millionths = f"sum(cast(floor(({x} - floor({x})) * 1e6D + 0.5D) AS bigint))"
+    return f"(cast(sum(floor({x})) AS decimal(20,0)) + cast({millionths} AS decimal(20,0)) * 0.000001BD)"
 
 
 def total(df: DataFrame, name: str) -> Column:

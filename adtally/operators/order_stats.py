@@ -9,39 +9,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PER_E_FOLD = 4096
 SPLITS = 2**18
 
 
-def coarse_bucket(v: Column) -> Column:
-    """Monotone bucket number, about 0.025% wide; the range of double bounds how many there are."""
-    size = F.log1p(F.least(F.abs(v), F.lit(1e300)) * 1e6) * PER_E_FOLD
-    return (F.signum(v) * F.floor(size)).cast("bigint")
+# Buckets are coalesced so that the optimizer adds no null checks of its own to
+# one of the two uses of ``pool``: both stay the same plan and run once.
+_MEDIAN = """
+WITH vals AS (
+  SELECT {keys} cast(`{value}` AS double) AS v FROM {{df}}
+), keyed AS (
+  SELECT {keys} v, {coarse} AS b FROM vals WHERE v IS NOT NULL AND NOT isnan(v)
+), coarse AS (
+  SELECT {keys} b, count(*) AS n, min(v) AS lo, max(v) AS hi FROM keyed GROUP BY {keys} b
+), coarse_upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY {part}) AS total, lead(lo) OVER w AS after,
+    sum(n) OVER w AS upto
+  FROM coarse WINDOW w AS (PARTITION BY {part} ORDER BY b)
+), middle AS (
+  SELECT {keys} b, lo, hi, after, total % 2 = 0 AS even, (total - 1) div 2 - (upto - n) AS k
+  FROM coarse_upto WHERE (total - 1) div 2 >= upto - n AND (total - 1) div 2 < upto
+), pool AS (
+  SELECT {hint} {keyed_keys} v, lo, hi, after, even, k, count(*) AS n
+  FROM keyed JOIN middle USING ({using} b) GROUP BY {keyed_keys} v, lo, hi, after, even, k
+), split AS (
+  SELECT *, coalesce(floor((v - lo) / nullif(hi - lo, 0D) * {splits}), 0L) AS s FROM pool
+), fine AS (
+  SELECT {keys} s, after, even, k, sum(n) AS n, min(v) AS lo FROM split GROUP BY {keys} s, after, even, k
+), fine_upto AS (
+  SELECT {keys} s, even, k, n, coalesce(lead(lo) OVER w, after) AS after,
+    sum(n) OVER w AS upto
+  FROM fine WINDOW w AS (PARTITION BY {part} ORDER BY s)
+), sliver AS (
+  SELECT {keys} s, after, even, k - (upto - n) AS k FROM fine_upto WHERE k >= upto - n AND k < upto
+), ordered AS (
+  SELECT {sliver_hint} {split_keys} split.v, split.n, sliver.even, sliver.k,
+    coalesce(lead(split.v) OVER w, sliver.after) AS after,
+    sum(split.n) OVER w AS upto
+  FROM split JOIN sliver ON {same_group} split.s = sliver.s
+  WINDOW w AS (PARTITION BY {split_part} ORDER BY split.v)
+)
+SELECT {keys} (v + CASE WHEN even AND k + 1 >= upto THEN after ELSE v END) / 2 AS median
+FROM ordered WHERE k >= upto - n AND k < upto
+"""
 
+_COARSE = "coalesce(cast(signum(v) * floor(log1p(least(abs(v), 1e300D) * 1e6D) * {per}) AS bigint), 0L)"
 
-def _at_rank(hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The histogram row holding rank ``k`` (0-based) of its group.
 
-    ``k`` becomes the rank inside that row and ``after`` the smallest value
-    behind it. The window runs over bucket counts, not over data rows.
-    """
-    w = Window.partitionBy(*by).orderBy("b")
-    upto = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = hist.withColumns({"upto": upto, "next_lo": F.lead("lo").over(w)})
-    before = F.col("upto") - F.col("n")
-    return ranked.where((before <= F.col("k")) & (F.col("k") < F.col("upto"))).select(
-        *by,
-        "b",
-        "lo",
-        "hi",
-        "n",
-        "even",
-        (F.col("k") - before).alias("k"),
-        F.coalesce("next_lo", "after").alias("after"),
-    )
+def coarse_bucket(v: str) -> str:
+    """Monotone bucket number, about 0.025% wide; the range of double bounds how many there are."""
+    return _COARSE.format(per=PER_E_FOLD).replace("(v)", f"({v})")
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -53,43 +73,28 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     Two passes read the data: one counts buckets, one keeps the bucket that holds
     the middle. That bucket's distinct values are split once more by linear
     buckets. What is left spans 2**-30 of the value, so however many rows there
-    are, only the doubles inside that sliver are ordered in one place.
+    are, only the doubles inside that sliver are ordered in one place. Windows
+    run over bucket counts and that sliver, never over data rows.
+
+    Without groups the two looked-up buckets are single rows, the only sides that
+    are always safe to broadcast.
     """
-    by = list(by)
-    v = F.col("v")
-    vals = df.select(*by, F.col(value).cast("double").alias("v")).where(v.isNotNull() & ~F.isnan(v))
-    keyed = vals.withColumn("b", coarse_bucket(v))
-
-    hist = keyed.groupBy(*by, "b").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    total = F.sum("n").over(Window.partitionBy(*by))
-    hist = hist.withColumn("total", total).withColumns(
-        {
-            "k": F.floor((F.col("total") - 1) / 2),
-            "even": F.col("total") % 2 == 0,
-            "after": F.lit(None).cast("double"),
-        }
-    )
-    pick = _at_rank(hist, by).drop("n")
-    # Without groups ``pick`` is a single row, the one side that is safe to broadcast.
-    state = ["lo", "hi", "k", "even", "after"]
-    pool = (
-        keyed.join(pick if by else F.broadcast(pick), [*by, "b"])
-        .groupBy(*by, "v", *state)
-        .agg(F.count("*").alias("n"))
+    names = [f"`{c}`" for c in by]
+    text = _MEDIAN.format(
+        value=value,
+        keys="".join(f"{c}, " for c in names),
+        keyed_keys="".join(f"keyed.{c}, " for c in names),
+        split_keys="".join(f"split.{c}, " for c in names),
+        using="".join(f"{c}, " for c in names),
+        same_group="".join(f"split.{c} = sliver.{c} AND " for c in names),
+        part=", ".join(names) or "1",
+        split_part=", ".join(f"split.{c}" for c in names) or "1",
+        coarse=coarse_bucket("v"),
+        splits=SPLITS - 1,
+        hint="" if names else "/*+ BROADCAST(middle) */",
+        sliver_hint="" if names else "/*+ BROADCAST(sliver) */",
     )
-    width = F.col("hi") - F.col("lo")
-    split = F.when(width > 0, F.floor((v - F.col("lo")) / width * (SPLITS - 1))).otherwise(F.lit(0)).cast("bigint")
-    fine = pool.withColumn("b", split)
-    hist = fine.groupBy(*by, "b", "k", "even", "after").agg(
-        F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    pick = _at_rank(hist, by).drop("n", "lo", "hi")
-    sliver = fine.select(*by, "v", "n", "b").join(pick if by else F.broadcast(pick), [*by, "b"])
-
-    values = sliver.select(*by, v.alias("b"), v.alias("lo"), v.alias("hi"), "n", "k", "even", "after")
-    last = _at_rank(values, by)
-    upper = F.when(F.col("even") & (F.col("k") + 1 >= F.col("n")), F.col("after")).otherwise(F.col("b"))
-    return last.select(*by, ((F.col("b") + upper) / 2).alias("median"))
+    return df.sparkSession.sql(text, df=df)
 
 
 def global_rank(df: DataFrame, value: str, rank_name: str) -> DataFrame:
@@ -100,7 +105,7 @@ def global_rank(df: DataFrame, value: str, rank_name: str) -> DataFrame:
     extra. Rows whose value is null are dropped.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("b", coarse_bucket(F.col("v")))
+    counts = counts.withColumn("b", F.expr(coarse_bucket("v")))
     desc_buckets = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counts.groupBy("b")

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.config import ReallocationWeights
-from adtally.functions.numeric import exact_sum, round_half_up
+from adtally.functions.numeric import exact_sum, exact_sum_sql, round_half_up
 from adtally.functions.text import currency_text, explanation, fixed, percent_text
 from adtally.operators.filters import first_rows
 from adtally.operators.performance import finest_sums, performance
 from adtally.operators.segments import explain
-from adtally.operators.stats import minmax, table_stats, with_stats
+from adtally.operators.stats import minmax, range_stats, with_stats
 
 WEIGHTS = ReallocationWeights()
 
@@ -39,11 +39,12 @@ def budget_plan(recommendations: DataFrame, total_budget: float | Column, top_n:
     """
     picked = recommendations.orderBy(F.desc("recommendation_score"), "segment_id").limit(top_n)
     budget = total_budget if isinstance(total_budget, Column) else F.lit(float(total_budget))
-    shared = with_stats(picked, {"_sum": F.sum(F.col("recommended_weight").cast("decimal(18,6)")), "_n": F.count("*")})
-    weight = F.when(F.col("_sum") > 0, F.col("recommended_weight") / F.col("_sum").cast("double")).otherwise(
-        1.0 / F.col("_n")
+    # The window sees the picked rows only, ``top_n`` at most.
+    weight = (
+        "CASE WHEN sum(cast(recommended_weight AS decimal(18,6))) OVER () > 0 THEN recommended_weight "
+        "/ cast(sum(cast(recommended_weight AS decimal(18,6))) OVER () AS double) ELSE 1D / count(*) OVER () END"
     )
-    allocated = shared.withColumn("_weight", weight).withColumn("_allocated", budget * F.col("_weight"))
+    allocated = picked.withColumn("_weight", F.expr(weight)).withColumn("_allocated", budget * F.col("_weight"))
     expected = F.when(F.col("avg_cpa") > 0, round_half_up(F.col("_allocated") / F.col("avg_cpa"), 4))
     return allocated.select(
         "segment_id",
@@ -74,30 +75,20 @@ def reallocate(platforms: DataFrame, total_spend: float | None = None, weights:
     all are 0 every platform gets the same. Without ``total_spend`` the spend of
     the platforms is redistributed.
     """
-    measures = {
-        "roas": F.greatest(F.col("roas"), F.lit(0.0)),
-        "roi": F.col("roi_pct"),
-        "cvr": F.col("cvr_pct"),
-        "cpa": F.col("cpa"),
-    }
-    bounds = table_stats(
-        platforms,
-        **{f"lo_{m}": F.min(c) for m, c in measures.items()},
-        **{f"hi_{m}": F.max(c) for m, c in measures.items()},
-        spend=exact_sum(platforms, "spend").cast("double"),
-    )
-    n = {m: minmax(c, bounds[f"lo_{m}"], bounds[f"hi_{m}"], 1.0) for m, c in measures.items()}
-    gain = weights.roas * n["roas"] + weights.roi * n["roi"] + weights.cvr * n["cvr"]
+    measures = {"roas": "greatest(roas, 0D)", "roi": "roi_pct", "cvr": "cvr_pct", "cpa": "cpa"}
+    ranges: dict[str, str] = {}
+    for name, value in measures.items():
+        ranges |= range_stats(name, value)
+    rows = with_stats(platforms, ranges | {"spend": f"cast({exact_sum_sql('spend')} AS double)"})
+    n = {name: minmax(name, value, 1.0) for name, value in measures.items()}
+    gain = f"{weights.roas}D * {n['roas']} + {weights.roi}D * {n['roi']} + {weights.cvr}D * {n['cvr']}"
     # Rounded so that the shares can be added up exactly.
-    raw = round_half_up(F.greatest(gain - weights.cpa * n["cpa"], F.lit(0.0)), 12)
-    scored = platforms.withColumn("score", raw)
-    sums = table_stats(scored, total=F.sum(F.col("score").cast("decimal(20,12)")), n=F.count("*"))
-    score_total = sums["total"].cast("double")
-    none = sums["total"] == 0
-    budget = bounds["spend"] if total_spend is None else F.lit(float(total_spend))
-    share = F.when(none, 1.0 / sums["n"]).otherwise(F.col("score") / score_total)
-    recommended = share * budget
-    return scored.select(
+    raw = f"floor(greatest({gain} - {weights.cpa}D * {n['cpa']}, 0D) * 1e12D + 0.5D) / 1e12D"
+    budget = "_stats.spend" if total_spend is None else f"{float(total_spend)!r}D"
+    scored = rows.selectExpr("* EXCEPT (_stats)", f"{raw} AS _score", f"{budget} AS _budget")
+    summed = with_stats(scored, {"total": "sum(cast(_score AS decimal(20,12)))", "n": "count(*)"})
+    share = "CASE WHEN _stats.total = 0 THEN 1D / _stats.n ELSE _score / cast(_stats.total AS double) END"
+    return summed.selectExpr(
         "platform",
         "spend",
         "roas",
@@ -105,9 +96,9 @@ def reallocate(platforms: DataFrame, total_spend: float | None = None, weights:
         "cpa",
         "cvr_pct",
         "ctr_pct",
-        F.when(none, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
-        recommended.alias("recommended_spend"),
-        (recommended - F.col("spend")).alias("delta"),
+        "CASE WHEN _stats.total = 0 THEN 1D ELSE _score END AS score",
+        f"({share}) * _budget AS recommended_spend",
+        f"({share}) * _budget - spend AS delta",
     )
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from adtally.config import AD_COLUMNS, QualityRules, SCORED_COLUMNS
 from adtally.functions.kpi import row_kpis
@@ -19,38 +18,34 @@ def add_kpis(ads: DataFrame) -> DataFrame:
     return ads.select("*", *row_kpis())
 
 
-def additive_score(median: Column, rules: QualityRules = RULES) -> Column:
-    """0..4, one point per rule met; a missing cpa meets no rule."""
-    conversions = F.col("conversions").cast("double")
+def additive_score(rules: QualityRules = RULES) -> str:
+    """SQL text of the 0..4 score, one point per rule met; a missing cpa meets no rule."""
     met = [
-        F.col("ctr") >= rules.min_ctr,
-        F.col("cvr") >= rules.min_cvr,
-        (conversions > 0) & (F.col("cpa") <= median),
-        conversions >= rules.min_conversions,
+        f"ctr >= {rules.min_ctr}D",
+        f"cvr >= {rules.min_cvr}D",
+        "conversions > 0 AND cpa <= cpa_median",
+        f"conversions >= {rules.min_conversions}D",
     ]
-    points = [F.when(m, F.lit(1)).otherwise(F.lit(0)) for m in met]
-    return points[0] + points[1] + points[2] + points[3]
+    return " + ".join(f"CASE WHEN {m} THEN 1 ELSE 0 END" for m in met)
 
 
-def additive_label(score: Column, rules: QualityRules = RULES) -> Column:
+def additive_label(rules: QualityRules = RULES) -> str:
     return (
-        F.when(score >= rules.good_at, F.lit("good"))
-        .when(score == rules.average_at, F.lit("average"))
-        .otherwise(F.lit("bad"))
+        f"CASE WHEN quality_score >= {rules.good_at} THEN 'good' "
+        f"WHEN quality_score = {rules.average_at} THEN 'average' ELSE 'bad' END"
     )
 
 
-def tiered_score(median: Column, rules: QualityRules = RULES) -> Column:
-    """3 when ctr, cvr and cpa rules all hold, 2 when any does, else 1.
+def tiered_score(rules: QualityRules = RULES) -> str:
+    """SQL text: 3 when ctr, cvr and cpa rules all hold, 2 when any does, else 1.
 
     A NULL cpa can neither complete the three nor stand in for one of them.
     """
-    a, b, c = F.col("ctr") >= rules.min_ctr, F.col("cvr") >= rules.min_cvr, F.col("cpa") <= median
-    return F.when(a & b & c, F.lit(3.0)).when(a | b | c, F.lit(2.0)).otherwise(F.lit(1.0))
+    met = [f"ctr >= {rules.min_ctr}D", f"cvr >= {rules.min_cvr}D", "cpa <= cpa_median"]
+    return f"CASE WHEN {' AND '.join(met)} THEN 3D WHEN {' OR '.join(met)} THEN 2D ELSE 1D END"
 
 
-def tiered_label(score: Column) -> Column:
-    return F.when(score == 3.0, F.lit("good")).when(score == 2.0, F.lit("average")).otherwise(F.lit("bad"))
+TIERED_LABEL = "CASE WHEN quality_score = 3 THEN 'good' WHEN quality_score = 2 THEN 'average' ELSE 'bad' END"
 
 
 def label_quality(
@@ -68,15 +63,11 @@ def label_quality(
     if mode not in ("additive", "tiered"):
         raise ValueError(f"mode must be 'additive' or 'tiered', got {mode!r}")
     medians = cpa_median(kpis, median, by)
-    if by:
-        rows, threshold = kpis.join(medians, list(by)), F.col("cpa_median")
-    else:
-        rows, threshold = kpis, medians.scalar()
-    score = additive_score(threshold, rules) if mode == "additive" else tiered_score(threshold, rules)
-    scored = rows.select(*kpis.columns, score.alias("quality_score"))
-    s = F.col("quality_score")
-    label = additive_label(s, rules) if mode == "additive" else tiered_label(s)
-    return scored.withColumn("quality_label", label)
+    rows = kpis.join(medians, list(by)) if by else kpis.withColumn("cpa_median", medians.scalar())
+    score, label = (additive_score(rules), additive_label(rules)) if mode == "additive" else (tiered_score(rules), TIERED_LABEL)
+    return rows.selectExpr(*[f"`{c}`" for c in kpis.columns], f"{score} AS quality_score").selectExpr(
+        "*", f"{label} AS quality_label"
+    )
 
 
 def score_ads(

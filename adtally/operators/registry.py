@@ -65,14 +65,16 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 def dashboard_overview(summary_row: DataFrame, datasets: DataFrame) -> DataFrame:
     """Summary, data flag, active dataset and the last five datasets in one row."""
     record = F.struct(*datasets.columns)
+    # Five rows at most, so they fit in one array.
     recent = dataset_history(datasets, 5).agg(
         F.reverse(F.array_sort(F.collect_list(F.struct("created_at", "id", record.alias("d"))))).alias("h")
     )
+    history = recent.select(F.transform("h", lambda x: x["d"]))
     active = active_dataset(datasets).select(record.alias("d"))
     return summary_row.select(
         F.struct(*summary_row.columns).alias("summary"),
         F.col("total_ads").alias("total_records"),
         (F.col("total_ads") > 0).alias("has_data"),
         active.scalar().alias("active_dataset"),
-        F.transform(recent.scalar(), lambda x: x["d"]).alias("dataset_history"),
+        history.scalar().alias("dataset_history"),
     )

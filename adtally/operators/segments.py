@@ -8,19 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.config import RECOMMENDATION_COLUMNS, SegmentWeights
-from adtally.functions.numeric import exact_sum, ratio, round_half_up
+from adtally.functions.numeric import exact_sum, rounded
 from adtally.functions.text import explanation
-from adtally.operators.stats import minmax, weight_of_total, with_stats
+from adtally.operators.stats import minmax, range_stats, weight_of_total, with_stats
 
 WEIGHTS = SegmentWeights()
+MEASURES = ["ads_count", "total_spent", "total_conversions", "avg_ctr", "avg_cvr", "avg_cpa", "good_ratio"]
 
 
 def eligible(scored: DataFrame) -> DataFrame:
     """Rows that belong to a segment: a campaign and a known age group."""
-    known = F.when(F.length(F.trim("age_group")) > 0, F.col("age_group")).otherwise(F.lit("unknown"))
-    return scored.withColumn("age_group", known).where(
-        (F.length(F.trim("campaign_id")) > 0) & (F.col("age_group") != "unknown")
-    )
+    return scored.where("length(trim(campaign_id)) > 0 AND length(trim(age_group)) > 0 AND age_group <> 'unknown'")
 
 
 def segment_features(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -30,25 +28,25 @@ def segment_features(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count("*").alias("ads_count"),
         exact_sum(rows, "spend").cast("double").alias("total_spent"),
         exact_sum(rows, "conversions").cast("double").alias("total_conversions"),
-        F.avg("ctr").alias("avg_ctr"),
-        F.avg("cvr").alias("avg_cvr"),
-        F.avg("cpa").alias("avg_cpa"),
-        F.avg(F.when(F.col("quality_label") == "good", F.lit(1.0)).otherwise(F.lit(0.0))).alias("good_ratio"),
+        F.expr("avg(ctr) AS avg_ctr"),
+        F.expr("avg(cvr) AS avg_cvr"),
+        F.expr("avg(cpa) AS avg_cpa"),
+        F.expr("avg(CASE WHEN quality_label = 'good' THEN 1D ELSE 0D END) AS good_ratio"),
     )
-    return grouped.select(
+    return grouped.selectExpr(
         "*",
-        ratio("total_conversions", "total_spent").alias("conversion_per_spend"),
-        ratio(F.lit(1.0), "avg_cpa").alias("cpa_inverse"),
+        "CASE WHEN total_spent > 0 THEN total_conversions / total_spent ELSE 0D END AS conversion_per_spend",
+        "CASE WHEN avg_cpa > 0 THEN 1D / avg_cpa ELSE 0D END AS cpa_inverse",
     )
 
 
 def normalize_features(features: DataFrame, weights: SegmentWeights = WEIGHTS, by: Sequence[str] = ()) -> DataFrame:
     """Add ``norm_*``: each feature scaled over all segments, 0.5 for a constant one."""
-    names = list(weights.features)
-    bounds = {f"_lo_{n}": F.min(n) for n in names} | {f"_hi_{n}": F.max(n) for n in names}
-    rows = with_stats(features, bounds, by)
-    scaled = {f"norm_{n}": minmax(F.col(n), F.col(f"_lo_{n}"), F.col(f"_hi_{n}"), 0.5) for n in names}
-    return rows.withColumns(scaled).drop(*bounds)
+    ranges: dict[str, str] = {}
+    for name in weights.features:
+        ranges |= range_stats(name, name)
+    rows = with_stats(features, ranges, by, MEASURES)
+    return rows.selectExpr("* EXCEPT (_stats)", *[f"{minmax(n, n, 0.5)} AS norm_{n}" for n in weights.features])
 
 
 def score_segments(normalized: DataFrame, weights: SegmentWeights = WEIGHTS) -> DataFrame:
@@ -56,17 +54,14 @@ def score_segments(normalized: DataFrame, weights: SegmentWeights = WEIGHTS) ->
 
     The thresholds look at the rounded score, both inclusive.
     """
-    parts = [F.col(f"norm_{n}") * F.lit(w) for n, w in weights.features.items()]
-    score = parts[0]
-    for part in parts[1:]:
-        score = score + part
-    s = F.col("recommendation_score")
+    score = " + ".join(f"norm_{n} * {w}D" for n, w in weights.features.items())
     action = (
-        F.when(s >= weights.increase_at, F.lit("increase_budget"))
-        .when(s >= weights.keep_at, F.lit("keep_and_test"))
-        .otherwise(F.lit("reduce_budget"))
+        f"CASE WHEN recommendation_score >= {weights.increase_at}D THEN 'increase_budget' "
+        f"WHEN recommendation_score >= {weights.keep_at}D THEN 'keep_and_test' ELSE 'reduce_budget' END"
     )
-    return normalized.withColumn("recommendation_score", round_half_up(score, 6)).withColumn("suggested_action", action)
+    # A score lies between 0 and 1, so plain flooring is safe.
+    scored = normalized.selectExpr("*", f"floor(({score}) * 1e6D + 0.5D) / 1e6D AS recommendation_score")
+    return scored.selectExpr("*", f"{action} AS suggested_action")
 
 
 def recommend(
@@ -79,22 +74,14 @@ def recommend(
 
     With ``by`` every group of files is normalised and shared out on its own.
     """
-    features = segment_features(scored, by)
-    ranked = weight_of_total(
-        score_segments(normalize_features(features, weights, by), weights),
-        "recommendation_score",
-        "recommended_weight",
-        by,
+    actions = score_segments(normalize_features(segment_features(scored, by), weights, by), weights)
+    weighed = weight_of_total(actions, "recommendation_score", "recommended_weight", by, MEASURES)
+    digits = dict.fromkeys(("total_spent", "total_conversions"), 4)
+    digits |= dict.fromkeys(
+        ("avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "conversion_per_spend", "recommended_weight"), 6
     )
-    six = ["avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "conversion_per_spend", "recommended_weight"]
-    table = ranked.withColumns(
-        {
-            "segment_id": F.concat_ws("|", "campaign_id", "age_group"),
-            "total_spent": round_half_up(F.col("total_spent"), 4),
-            "total_conversions": round_half_up(F.col("total_conversions"), 4),
-            **{n: round_half_up(F.col(n), 6) for n in six},
-        }
-    ).select(*by, *RECOMMENDATION_COLUMNS)
+    made = {"segment_id": "concat_ws('|', campaign_id, age_group)"} | {c: rounded(c, d) for c, d in digits.items()}
+    table = weighed.selectExpr(*by, *[f"{made.get(c, c)} AS {c}" for c in RECOMMENDATION_COLUMNS])
     return table.orderBy(F.desc("recommendation_score"), "segment_id") if ordered else table
 
 

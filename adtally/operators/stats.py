@@ -7,28 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.functions.numeric import exact_sum, round_half_up
+from adtally.functions.numeric import exact_sum_sql, round_half_up
 from adtally.operators.order_stats import exact_median
 
 
-def table_stats(df: DataFrame, **aggs: Column) -> Column:
-    """One struct of aggregates over the whole frame, usable as a constant.
+def table_stats(df: DataFrame, aggs: dict[str, str]) -> Column:
+    """One struct of aggregates (SQL texts by name) over the whole frame, usable as a constant.
 
     It is a scalar subquery: the plan stays lazy, no join and no window over
     fact rows is needed, and identical subqueries run once.
     """
-    return df.agg(F.struct(*[c.alias(name) for name, c in aggs.items()]).alias("s")).scalar()
+    fields = ", ".join(f"{sql} AS {name}" for name, sql in aggs.items())
+    return df.agg(F.expr(f"struct({fields})")).scalar()
 
 
-def with_stats(df: DataFrame, aggs: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Attach aggregates of the whole frame, or of each ``by`` group, to every row.
+def with_stats(df: DataFrame, aggs: dict[str, str], by: Sequence[str] = (), shared: Sequence[str] = ()) -> DataFrame:
+    """Attach a struct ``_stats`` of aggregates of the whole frame, or of each ``by`` group.
 
-    Group keys must not be null.
+    Group keys must not be null. ``shared`` names further columns for the
+    statistics to read: with the same columns alive, the statistics and the rows
+    come from one aggregation over the facts instead of one each.
     """
     if not by:
-        s = table_stats(df, **aggs)
-        return df.withColumns({name: s[name] for name in aggs})
-    return df.join(df.groupBy(*by).agg(*[c.alias(name) for name, c in aggs.items()]), list(by))
+        return df.withColumn("_stats", table_stats(df, aggs | {f"_read_{c}": f"max({c})" for c in shared}))
+    fields = ", ".join(f"{sql} AS {name}" for name, sql in aggs.items())
+    return df.join(df.groupBy(*by).agg(F.expr(f"struct({fields}) AS _stats")), list(by))
 
 
 def cpa_median(kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
@@ -50,9 +53,15 @@ def cpa_median(kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), a
     return groups.join(found, by, "left").na.fill(0.0, ["cpa_median"])
 
 
-def minmax(value: Column, low: Column, high: Column, degenerate: float) -> Column:
-    """Scale to 0..1; a constant or unknown range gives ``degenerate``."""
-    return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(degenerate))
+def range_stats(name: str, value: str) -> dict[str, str]:
+    """The statistics :func:`minmax` needs; the span of a constant is null."""
+    return {f"lo_{name}": f"min({value})", f"span_{name}": f"nullif(max({value}) - min({value}), 0D)"}
+
+
+def minmax(name: str, value: str, degenerate: float) -> str:
+    """SQL text scaling a value to 0..1 within ``_stats``; a constant or unknown range gives ``degenerate``."""
+    lo, span = f"_stats.lo_{name}", f"_stats.span_{name}"
+    return f"CASE WHEN {span} > 0 THEN ({value} - {lo}) / {span} ELSE {degenerate}D END"
 
 
 def risk_level(campaigns: DataFrame, medium_above: float = 40.0, high_above: float = 80.0) -> DataFrame:
@@ -81,8 +90,10 @@ def efficiency_score(kpis: DataFrame, currency_rate: float = 1.0) -> DataFrame:
     return kpis.select(F.bround(gain * cost * 100.0, 0).cast("int").alias("efficiency_score"))
 
 
-def weight_of_total(df: DataFrame, score: str, name: str, by: Sequence[str] = ()) -> DataFrame:
+def weight_of_total(
+    df: DataFrame, score: str, name: str, by: Sequence[str] = (), shared: Sequence[str] = ()
+) -> DataFrame:
     """Share of each row in the total of ``score``; 0 when the total is not positive."""
-    summed = with_stats(df, {"_total": exact_sum(df, score).cast("double")}, by)
-    share = F.when(F.col("_total") > 0, F.col(score) / F.col("_total")).otherwise(F.lit(0.0))
-    return summed.withColumn(name, share).drop("_total")
+    summed = with_stats(df, {"total": f"cast({exact_sum_sql(score)} AS double)"}, by, shared)
+    share = f"CASE WHEN _stats.total > 0 THEN {score} / _stats.total ELSE 0D END AS {name}"
+    return summed.selectExpr("* EXCEPT (_stats)", share)

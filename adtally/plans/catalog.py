@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally.config import AD_COLUMNS, METRICS
 from adtally.functions import kpi, text
-from adtally.functions.numeric import round_half_up
+from adtally.functions.numeric import round_columns
 from adtally.operators import (
     accounts,
     cleaning,
@@ -38,11 +38,6 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    """Means of doubles depend on row order in the last bits: show fewer digits."""
-    return df.withColumns({n: round_half_up(F.col(n), digits) for n in names})
-
-
 def scored(spark: SparkSession, d: str, mode: str = "additive") -> DataFrame:
     return quality.score_ads(views.ads(spark, d), mode)
 
@@ -196,7 +191,7 @@ def scored_ads(spark, d):
 
 @query
 def cpa_median(spark, d):
-    return rounded(stats.cpa_median(quality.add_kpis(views.ads(spark, d))), 9, "cpa_median")
+    return round_columns(stats.cpa_median(quality.add_kpis(views.ads(spark, d))), 9, "cpa_median")
 
 
 @query
@@ -212,7 +207,7 @@ def batch_quality(spark, d):
         *[F.count_if(F.col("quality_label") == n).alias(f"{n}_count") for n in ("good", "average", "bad")],
     )
     medians = stats.cpa_median(quality.add_kpis(monthly(spark, d)), by=["batch_id"])
-    return rounded(counts.join(medians, "batch_id"), 9, "cpa_median")
+    return round_columns(counts.join(medians, "batch_id"), 9, "cpa_median")
 
 
 @query
@@ -344,13 +339,13 @@ def ads_with_action(spark, d):
 @query
 def campaign_aggregation(spark, d):
     means = ["avg_ctr", "avg_cpc", "avg_cpm", "avg_cvr", "avg_cpa", "avg_quality_score"]
-    return rounded(rollups.campaign_rollup(scored(spark, d, "tiered")), 6, *means)
+    return round_columns(rollups.campaign_rollup(scored(spark, d, "tiered")), 6, *means)
 
 
 @query
 def age_aggregation(spark, d):
     means = ["avg_ctr", "avg_cpc", "avg_cpm", "avg_cvr", "avg_cpa"]
-    return rounded(rollups.age_rollup(quality.add_kpis(views.ads(spark, d))), 6, *means)
+    return round_columns(rollups.age_rollup(quality.add_kpis(views.ads(spark, d))), 6, *means)
 
 
 @query
@@ -493,14 +488,14 @@ def kpi_trends(spark, d):
 @query
 def segment_features(spark, d):
     names = ["avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "cpa_inverse"]
-    return rounded(segments.segment_features(scored(spark, d)), 6, *names)
+    return round_columns(segments.segment_features(scored(spark, d)), 6, *names)
 
 
 @query
 def segment_normalized(spark, d):
     names = [f"norm_{n}" for n in segments.WEIGHTS.features]
     normalized = segments.normalize_features(segments.segment_features(scored(spark, d)))
-    return rounded(normalized.select("campaign_id", "age_group", *names), 6, *names)
+    return round_columns(normalized.select("campaign_id", "age_group", *names), 6, *names)
 
 
 @query
@@ -541,13 +536,13 @@ def report_plan(spark, d):
 @query
 def platform_reallocation(spark, d):
     platforms = performance.performance(views.ads(spark, d), ["platform"])
-    return rounded(planning.reallocate(platforms), 6, "recommended_spend", "delta")
+    return round_columns(planning.reallocate(platforms), 6, "recommended_spend", "delta")
 
 
 @query
 def reallocation_top(spark, d):
     platforms = performance.performance(views.ads(spark, d), ["platform"])
-    return rounded(planning.top_reallocations(planning.reallocate(platforms), 3), 6, "recommended_spend", "delta")
+    return round_columns(planning.top_reallocations(planning.reallocate(platforms), 3), 6, "recommended_spend", "delta")
 
 
 @query
@@ -668,7 +663,7 @@ def stream_landing_kpis(spark, d):
 @query
 def stream_daily_platform(spark, d):
     schema = views.table(spark, d, "lineitem").schema
-    facts = spark.readStream.schema(schema).parquet(f"{d}/lineitem.parquet")
+    facts = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
     out, state = new_folder(spark, "stream-out"), new_folder(spark, "stream-state")
     landing.append_available(landing.daily_platform(views.ads_of(facts)), out, state).awaitTermination()
     return spark.read.parquet(out)

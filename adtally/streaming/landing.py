@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adtally.config import AD_SCHEMA
 from adtally.functions.kpi import row_kpis
-from adtally.functions.numeric import MONEY
+from adtally.functions.numeric import exact_sum_sql
 
 
 def stream_ads(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
@@ -39,8 +39,8 @@ def daily_platform(ads: DataFrame, lateness: str = "2 days") -> DataFrame:
             F.sum("impressions").alias("impressions"),
             F.sum("clicks").alias("clicks"),
             F.sum("conversions").alias("conversions"),
-            F.sum(F.col("spend").cast(MONEY)).cast("double").alias("spend"),
-            F.sum(F.col("revenue").cast(MONEY)).cast("double").alias("revenue"),
+            F.expr(exact_sum_sql("spend")).cast("double").alias("spend"),
+            F.expr(exact_sum_sql("revenue")).cast("double").alias("revenue"),
         )
         .select(
             F.date_from_unix_date((F.unix_seconds("window.start") / 86400).cast("int")).alias("date"),
