@@ -60,7 +60,7 @@ _COARSE = "coalesce(cast(signum(v) * floor(log1p(least(abs(v), 1e300D) * 1e6D) *
 
 
 def coarse_bucket(v: str) -> str:
-    """Monotone bucket number, about 0.025% wide; the range of double bounds how many there are."""
+    """SQL text of a monotone bucket number, about 0.025% wide; the range of double bounds how many there are."""
     return _COARSE.format(per=PER_E_FOLD).replace("(v)", f"({v})")
 
 
@@ -97,6 +97,30 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.sparkSession.sql(text, df=df)
 
 
+def sum_before(counts: DataFrame, value: str, weight: str, name: str, bucket: str, descending: bool = False) -> DataFrame:
+    """Running total of ``weight`` over the rows that come before in the order of ``value``.
+
+    ``counts`` holds each value once. ``bucket`` is SQL text of a monotone function
+    with a bounded number of results: totals per bucket are ordered in one place,
+    values only within their bucket.
+    """
+    order = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
+    rows = counts.withColumn("_b", F.expr(bucket))
+    before = (Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy("_b")
+        .agg(F.sum(weight).alias("_n"))
+        .select("_b", F.sum("_n").over(Window.orderBy(order("_b")).rowsBetween(*before)).alias("_ahead"))
+    )
+    inside = F.sum(weight).over(Window.partitionBy("_b").orderBy(order(value)).rowsBetween(*before))
+    return (
+        rows.withColumn("_inside", inside)
+        .join(offsets, "_b")
+        .withColumn(name, F.coalesce("_ahead", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
+        .select(*counts.columns, name)
+    )
+
+
 def global_rank(df: DataFrame, value: str, rank_name: str) -> DataFrame:
     """``rank() over (order by value desc)`` for a table of any size.
 
@@ -104,18 +128,23 @@ def global_rank(df: DataFrame, value: str, rank_name: str) -> DataFrame:
     anything is ordered, so a value shared by a third of the rows costs nothing
     extra. Rows whose value is null are dropped.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("b", F.expr(coarse_bucket("v")))
-    desc_buckets = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.groupBy("b")
-        .agg(F.sum("n").alias("n"))
-        .select("b", F.coalesce(F.sum("n").over(desc_buckets), F.lit(0)).alias("ahead"))
-    )
-    inside = Window.partitionBy("b").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        counts.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(offsets, "b")
-        .select(F.col("v").alias(value), (F.col("ahead") + F.col("inside") + 1).alias(rank_name))
-    )
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
+    ahead = sum_before(counts, value, "_n", "_ahead_of", coarse_bucket(f"`{value}`"), descending=True)
+    ranks = ahead.select(value, (F.col("_ahead_of") + 1).alias(rank_name))
     return df.join(ranks, value)
+
+
+def roc_area(rows: DataFrame, score: str, label: str) -> DataFrame:
+    """Exact area under the ROC curve of scores in 0..1 against 0/1 labels, as one ``roc_auc``.
+
+    It is the share of (positive, negative) pairs in which the positive scores
+    higher, ties counting half; NULL without both kinds. Pairs are never formed:
+    per distinct score, the negatives below are counted.
+    """
+    counts = rows.groupBy(score).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
+    )
+    below = sum_before(counts, score, "_neg", "_below", f"cast(floor(`{score}` * {SPLITS}) AS bigint)")
+    won = "sum(cast(_pos AS double) * (_below + _neg / 2D))"
+    pairs = "nullif(cast(sum(_pos) AS double) * sum(_neg), 0D)"
+    return below.agg(F.expr(f"{won} / {pairs}").alias("roc_auc"))

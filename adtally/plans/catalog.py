@@ -612,25 +612,25 @@ def dashboard_overview(spark, d):
 
 @query
 def classifier_train_summary(spark, d):
-    return models.summary_row(spark, models.train_classifier(scored(spark, d)))
+    return models.summary_row(spark, models.train_classifier(scored(spark, d), new_folder(spark, "model")))
 
 
 @query
 def classifier_predictions(spark, d):
     rows = scored(spark, d)
-    model = models.train_classifier(rows).model
+    model = models.train_classifier(rows, new_folder(spark, "model")).model
     return models.predict_effectiveness(model, rows.select("ad_id", *models.CLASSIFIER_FEATURES))
 
 
 @query
 def predictor_train_summary(spark, d):
-    return models.summary_row(spark, models.train_predictor(quality.add_kpis(views.ads(spark, d))))
+    return models.summary_row(spark, models.train_predictor(quality.add_kpis(views.ads(spark, d)), new_folder(spark, "model")))
 
 
 @query
 def predictor_predictions(spark, d):
     rows = quality.add_kpis(views.ads(spark, d))
-    model = models.train_predictor(rows).model
+    model = models.train_predictor(rows, new_folder(spark, "model")).model
     return models.predict_conversions(model, rows.select("ad_id", *models.PREDICTOR_FEATURES))
 
 
@@ -642,13 +642,13 @@ def rule_baseline_metrics(spark, d):
 @query
 def model_eval(spark, d):
     rows = quality.add_kpis(views.ads(spark, d))
-    return models.evaluate(rows, models.train_conversion_model(rows))
+    return models.evaluate(rows, models.train_conversion_model(rows, new_folder(spark, "model")))
 
 
 @query
 def model_top_features(spark, d):
     rows = quality.add_kpis(views.ads(spark, d))
-    return models.top_features(spark, models.train_conversion_model(rows))
+    return models.top_features(spark, models.train_conversion_model(rows, new_folder(spark, "model")))
 
 
 @query
