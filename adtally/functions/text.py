@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adtally.config import ACTION_TEXT
-from adtally.functions.numeric import as_col, round_half_up
+from adtally.functions.numeric import as_col, round_half_up, rounded
 
 
 def fixed(value: Column, digits: int) -> Column:
@@ -87,28 +87,31 @@ def is_gender(value: Column | str) -> Column:
     return F.upper(as_col(value)).isin("M", "F")
 
 
+def fixed_sql(sql: str, digits: int) -> str:
+    """SQL text of :func:`fixed`."""
+    return f"format_string('%.{digits}f', {rounded(sql, digits)})"
+
+
+def currency_sql(sql: str, unit: str = "₫") -> str:
+    """SQL text of :func:`currency_text` in whole units for a value that is never null."""
+    return f"concat(format_string('%,.0f', bround({sql}, 0)), ' {unit}')"
+
+
 def explanation(
-    action: Column | str = "suggested_action",
-    avg_cpa: Column | str = "avg_cpa",
-    avg_cvr: Column | str = "avg_cvr",
-    good_ratio: Column | str = "good_ratio",
-    score: Column | str = "recommendation_score",
+    action: str = "suggested_action",
+    avg_cpa: str = "avg_cpa",
+    avg_cvr: str = "avg_cvr",
+    good_ratio: str = "good_ratio",
+    score: str = "recommendation_score",
 ) -> Column:
-    """Sentence naming the decision and the figures behind it."""
+    """Sentence naming the decision and the figures behind it; arguments are column names."""
 
-    def number(c):
-        return F.coalesce(as_col(c).cast("double"), F.lit(0.0))
+    def shown(label: str, name: str, digits: int) -> str:
+        return f"concat('{label}=', {fixed_sql(f'coalesce(cast({name} AS double), 0D)', digits)})"
 
-    decision = (
-        F.when(as_col(action) == "increase_budget", F.lit(ACTION_TEXT["increase_budget"]))
-        .when(as_col(action) == "reduce_budget", F.lit(ACTION_TEXT["reduce_budget"]))
-        .otherwise(F.lit(ACTION_TEXT["keep_and_test"]))
-    )
-    reasons = F.concat_ws(
-        ", ",
-        F.when(number(avg_cpa) > 0, F.concat(F.lit("avg_cpa="), fixed(number(avg_cpa), 2))),
-        F.concat(F.lit("avg_cvr="), fixed(number(avg_cvr), 4)),
-        F.concat(F.lit("good_ratio="), fixed(number(good_ratio), 2)),
-        F.concat(F.lit("score="), fixed(number(score), 4)),
+    up, down, keep = (ACTION_TEXT[a] for a in ("increase_budget", "reduce_budget", "keep_and_test"))
+    return F.expr(
+        f"concat(CASE {action} WHEN 'increase_budget' THEN '{up}' WHEN 'reduce_budget' THEN '{down}' ELSE '{keep}' END, "
+        f"'; ', concat_ws(', ', CASE WHEN {avg_cpa} > 0 THEN {shown('avg_cpa', avg_cpa, 2)} END, "
+        f"{shown('avg_cvr', avg_cvr, 4)}, {shown('good_ratio', good_ratio, 2)}, {shown('score', score, 4)}))"
     )
-    return F.concat(decision, F.lit("; "), reasons)

@@ -41,14 +41,35 @@ def performance(ads: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select(*keys, *METRICS, *performance_ratios())
 
 
-def finest_sums(ads: DataFrame) -> DataFrame:
-    """Metric sums per campaign, platform and age group.
+LEVELS = {
+    "platform": ["platform"],
+    "segment": ["platform", "age_group"],
+    "campaign": ["campaign_id"],
+    "overall": [],
+}
 
-    The three performance tables can be added up from this one, so the facts are
-    read once however many of them a report needs.
+
+def performance_levels(ads: DataFrame) -> DataFrame:
+    """Performance of every platform, segment and campaign and of everything, from one pass.
+
+    Rows are ``level, name, ads_count``, the sums and the ratios. The facts are
+    first summed per campaign, platform and age group; only those sums are
+    regrouped per level. Groups with a null key are left out.
     """
-    grouped = ads.groupBy("campaign_id", "platform", "age_group").agg(*_sums(ads))
-    return _typed_sums(grouped, ads)
+    keys = ["campaign_id", "platform", "age_group"]
+    fine = ads.groupBy(*keys).agg(F.count("*").alias("ads_count"), *_sums(ads))
+    sums = [F.sum(c).alias(c) for c in ["ads_count", *METRICS]]
+    level = (
+        "CASE WHEN grouping(campaign_id) = 0 THEN 'campaign' WHEN grouping(age_group) = 0 THEN 'segment' "
+        "WHEN grouping(platform) = 0 THEN 'platform' ELSE 'overall' END AS level"
+    )
+    grouped = fine.groupingSets(list(LEVELS.values()), *keys).agg(*sums, F.expr(level))
+    name = (
+        "CASE level WHEN 'campaign' THEN campaign_id WHEN 'platform' THEN platform "
+        "WHEN 'segment' THEN platform || ' | ' || age_group ELSE 'all' END AS name"
+    )
+    named = _typed_sums(grouped, ads).selectExpr("level", name, "ads_count", *METRICS)
+    return named.where(F.col("name").isNotNull()).select("*", *performance_ratios())
 
 
 def by_segment(ads: DataFrame) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from adtally.config import ReallocationWeights
 from adtally.functions.numeric import exact_sum, exact_sum_sql, round_half_up
-from adtally.functions.text import currency_text, explanation, fixed, percent_text
+from adtally.functions.text import currency_sql, explanation, fixed_sql
 from adtally.operators.filters import first_rows
-from adtally.operators.performance import finest_sums, performance
+from adtally.operators.performance import performance_levels
 from adtally.operators.segments import explain
 from adtally.operators.stats import minmax, range_stats, with_stats
 
@@ -114,20 +114,19 @@ def top_campaigns_by_roas(campaigns: DataFrame, limit: int = 12) -> DataFrame:
     )
 
 
-def _best(df: DataFrame, key: str, *ranking: Column) -> Column:
-    """The row that comes first by ``ranking`` ascending, then by key.
+def _best(level: str, *ranking: str) -> str:
+    """SQL text of the row of a level that comes first by ``ranking`` ascending, then by name.
 
     ``min_by`` keeps one row per task, where a sort would move the table.
     """
-    return F.min_by(F.struct(*df.columns), F.struct(*[c.alias(f"r{i}") for i, c in enumerate(ranking)], F.col(key)))
+    row = "struct(name, conversions, ctr_pct, cvr_pct, cpa, roas, roi_pct)"
+    return f"min_by({row}, struct({', '.join(ranking)}, name)) FILTER (WHERE level = '{level}')"
 
 
-def _performance_tables(ads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    fine = finest_sums(ads)
-    segments = performance(fine, ["platform", "age_group"]).withColumn(
-        "segment", F.concat_ws(" | ", "platform", "age_group")
-    )
-    return performance(fine, ["platform"]), segments, performance(fine, ["campaign_id"])
+def _messages(df: DataFrame, required: str, rows: list[tuple[str, ...]]) -> DataFrame:
+    """Unfold one row into numbered messages; those whose ``required`` field is null are left out."""
+    fields = [f"struct({i} AS position, {', '.join(r)})" for i, r in enumerate(rows, 1)]
+    return df.selectExpr(f"inline(array({', '.join(fields)}))").where(F.col(required).isNotNull()).orderBy("position")
 
 
 def optimization_picks(ads: DataFrame) -> DataFrame:
@@ -136,141 +135,64 @@ def optimization_picks(ads: DataFrame) -> DataFrame:
     Ordered as ``position`` 1..6: platform to raise, platform to cut, segment to
     favour, segment to de-risk, campaign to scale, campaign to pause.
     """
-    platforms, segments, campaigns = _performance_tables(ads)
-    roas, roi, cpa, cvr, conv = (F.col(c) for c in ("roas", "roi_pct", "cpa", "cvr_pct", "conversions"))
-
-    def f(pick: str, field: str) -> Column:
-        return F.col(f"{pick}.{field}")
-
-    def roas_text(p: str) -> Column:
-        return F.concat(F.lit("ROAS "), fixed(f(p, "roas"), 2), F.lit("x"))
-
-    def roi_text(p: str) -> Column:
-        return F.concat(F.lit("ROI "), fixed(f(p, "roi_pct"), 1), F.lit("%"))
-
-    def cpa_text(p: str) -> Column:
-        return F.concat(F.lit("CPA "), currency_text(f(p, "cpa")))
-
-    def pct_text(p: str, name: str) -> Column:
-        return F.concat(F.lit(f"{name.upper()} "), fixed(f(p, f"{name}_pct"), 2), F.lit("%"))
-
-    def picks(df: DataFrame, key: str, first: tuple, second: tuple, rows: list) -> DataFrame:
-        best = df.agg(_best(df, key, *first).alias("p"), _best(df, key, *second).alias("q")).where("p is not null")
-        shaped = [
-            F.struct(
-                F.lit(n).alias("position"),
-                F.lit(kind).alias("kind"),
-                f(p, key).alias("name"),
-                F.concat_ws(" | ", *parts).alias("detail"),
-            )
-            for n, kind, p, parts in rows
-        ]
-        return best.select(F.inline(F.array(*shaped)))
-
-    scale_text = F.concat(
-        F.lit("ROAS "), fixed(f("p", "roas"), 2), F.lit("x | Conversions "),
-        F.format_string("%,d", f("p", "conversions").cast("bigint")),
-    )
-    return (
-        picks(
-            platforms, "platform", (-roas, -roi), (-cpa, roi),
-            [
-                (1, "increase_platform", "p", [roas_text("p"), roi_text("p"), cpa_text("p")]),
-                (2, "reduce_platform", "q", [cpa_text("q"), roi_text("q"), pct_text("q", "cvr")]),
-            ],
-        )
-        .unionByName(
-            picks(
-                segments, "segment", (-roas, -cvr), (-cpa, roi),
-                [
-                    (3, "prioritize_segment", "p", [pct_text("p", "cvr"), roas_text("p"), pct_text("p", "ctr")]),
-                    (4, "derisk_segment", "q", [cpa_text("q"), roi_text("q")]),
-                ],
-            )
-        )
-        .unionByName(
-            picks(
-                campaigns, "campaign_id", (-roas, -conv), (roi, roas),
-                [
-                    (5, "scale_campaign", "p", [scale_text]),
-                    (6, "pause_campaign", "q", [roi_text("q"), roas_text("q"), cpa_text("q")]),
-                ],
-            )
-        )
-        .orderBy("position")
+    best = {
+        "p1": _best("platform", "-roas", "-roi_pct"),
+        "p2": _best("platform", "-cpa", "roi_pct"),
+        "s1": _best("segment", "-roas", "-cvr_pct"),
+        "s2": _best("segment", "-cpa", "roi_pct"),
+        "c1": _best("campaign", "-roas", "-conversions"),
+        "c2": _best("campaign", "roi_pct", "roas"),
+    }
+    row = performance_levels(ads).agg(*[F.expr(f"{sql} AS {pick}") for pick, sql in best.items()])
+
+    def figure(pick: str, name: str) -> str:
+        texts = {
+            "roas": f"concat('ROAS ', {fixed_sql(f'{pick}.roas', 2)}, 'x')",
+            "roi": f"concat('ROI ', {fixed_sql(f'{pick}.roi_pct', 1)}, '%')",
+            "cpa": f"concat('CPA ', {currency_sql(f'{pick}.cpa')})",
+            "ctr": f"concat('CTR ', {fixed_sql(f'{pick}.ctr_pct', 2)}, '%')",
+            "cvr": f"concat('CVR ', {fixed_sql(f'{pick}.cvr_pct', 2)}, '%')",
+            "conversions": f"concat('Conversions ', format_string('%,d', cast({pick}.conversions AS bigint)))",
+        }
+        return texts[name]
+
+    def shown(kind: str, pick: str, *figures: str) -> tuple[str, str, str]:
+        detail = " || ' | ' || ".join(figure(pick, f) for f in figures)
+        return f"'{kind}' AS kind", f"{pick}.name AS name", f"{detail} AS detail"
+
+    return _messages(
+        row,
+        "name",
+        [
+            shown("increase_platform", "p1", "roas", "roi", "cpa"),
+            shown("reduce_platform", "p2", "cpa", "roi", "cvr"),
+            shown("prioritize_segment", "s1", "cvr", "roas", "ctr"),
+            shown("derisk_segment", "s2", "cpa", "roi"),
+            shown("scale_campaign", "c1", "roas", "conversions"),
+            shown("pause_campaign", "c2", "roi", "roas", "cpa"),
+        ],
     )
 
 
-def insights(ads: DataFrame, kpis: DataFrame) -> DataFrame:
-    """Key findings as ``position, kind, message`` rows.
-
-    ``kpis`` is the row of :func:`~adtally.operators.rollups.overall_kpis`.
-    """
-    platforms, _, campaigns = _performance_tables(ads)
-    schema = ("position", "kind", "message")
-
-    def rows(df: DataFrame, *items) -> DataFrame:
-        shaped = [F.struct(*[c.alias(n) for n, c in zip(schema, item)]) for item in items]
-        return df.select(F.inline(F.array(*shaped)))
-
-    def roas_text(c: str) -> Column:
-        return F.concat(fixed(F.col(c), 2), F.lit("x"))
-
-    size = ads.agg(F.count("*").alias("n"))
-    best_platform = platforms.agg(
-        _best(platforms, "platform", -F.col("roas")).alias("p"),
-        _best(platforms, "platform", -F.col("cpa")).alias("q"),
-    ).where("p is not null")
-    top_campaign = campaigns.agg(
-        _best(campaigns, "campaign_id", -F.col("roas"), -F.col("conversions")).alias("p")
-    ).where("p is not null")
-    found = (
-        rows(size, (F.lit(1), F.lit("dataset_scale"), F.format_string("Dataset scale: %,d rows", F.col("n"))))
-        .unionByName(
-            rows(
-                kpis,
-                (
-                    F.lit(2),
-                    F.lit("overall"),
-                    F.concat(F.lit("Overall CTR: "), percent_text("ctr_pct"), F.lit(" | CVR: "), percent_text("cvr_pct")),
-                ),
-            )
-        )
-        .unionByName(
-            rows(
-                best_platform,
-                (
-                    F.lit(3),
-                    F.lit("best_platform"),
-                    F.concat(F.lit("Best platform (ROAS): "), F.col("p.platform"), F.lit(" → "), roas_text("p.roas")),
-                ),
-                (
-                    F.lit(4),
-                    F.lit("cost_risk"),
-                    F.concat(F.lit("Cost risk platform (CPA): "), F.col("q.platform"), F.lit(" → "), currency_text("q.cpa")),
-                ),
-            )
-        )
-        .unionByName(
-            rows(
-                top_campaign,
-                (
-                    F.lit(5),
-                    F.lit("top_campaign"),
-                    F.concat(
-                        F.lit("Top campaign to scale: "), F.col("p.campaign_id"), F.lit(" (ROAS "), roas_text("p.roas"), F.lit(")")
-                    ),
-                ),
-            )
-        )
-        .unionByName(
-            rows(
-                kpis.where(F.col("roi_pct") < 0),
-                (F.lit(6), F.lit("negative_roi"), F.lit("Negative ROI: prioritize budget + targeting optimization")),
-            )
-        )
+def insights(ads: DataFrame) -> DataFrame:
+    """Key findings as ``position, kind, message`` rows."""
+    whole = "FILTER (WHERE level = 'overall')"
+    row = performance_levels(ads).agg(
+        F.expr(f"coalesce(max(ads_count) {whole}, 0) AS n"),
+        *[F.expr(f"coalesce(max({c}) {whole}, 0D) AS {c}") for c in ("ctr_pct", "cvr_pct", "roi_pct")],
+        F.expr(f"{_best('platform', '-roas')} AS best"),
+        F.expr(f"{_best('platform', '-cpa')} AS risk"),
+        F.expr(f"{_best('campaign', '-roas', '-conversions')} AS top"),
     )
-    return found.orderBy("position")
+    texts = {
+        "dataset_scale": "format_string('Dataset scale: %,d rows', n)",
+        "overall": f"concat('Overall CTR: ', {fixed_sql('ctr_pct', 2)}, '% | CVR: ', {fixed_sql('cvr_pct', 2)}, '%')",
+        "best_platform": f"concat('Best platform (ROAS): ', best.name, ' → ', {fixed_sql('best.roas', 2)}, 'x')",
+        "cost_risk": f"concat('Cost risk platform (CPA): ', risk.name, ' → ', {currency_sql('risk.cpa')})",
+        "top_campaign": f"concat('Top campaign to scale: ', top.name, ' (ROAS ', {fixed_sql('top.roas', 2)}, 'x)')",
+        "negative_roi": "CASE WHEN roi_pct < 0 THEN 'Negative ROI: prioritize budget + targeting optimization' END",
+    }
+    return _messages(row, "message", [(f"'{k}' AS kind", f"{t} AS message") for k, t in texts.items()])
 
 
 def report_plan(scored: DataFrame, recommendations: DataFrame, top_n: int = 10) -> DataFrame:

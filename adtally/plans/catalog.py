@@ -552,8 +552,7 @@ def optimization_picks(spark, d):
 
 @query
 def insights(spark, d):
-    ads = views.ads(spark, d)
-    return planning.insights(ads, rollups.overall_kpis(ads))
+    return planning.insights(views.ads(spark, d))
 
 
 @query

@@ -144,11 +144,18 @@ def test_performance_skips_null_keys_and_missing_metrics(make_ads):
     assert [(r.platform, r.revenue, r.roas, r.roi_pct, r.cpa) for r in rows] == [("P1", 0.0, 0.0, -100.0, 1.0)]
 
 
-def test_performance_tables_add_up_from_the_finest(make_ads):
+def test_levels_equal_the_single_tables(make_ads):
     ads = spread(make_ads)
-    fine = performance.finest_sums(ads)
-    for key in (["platform"], ["campaign_id"], ["platform", "age_group"]):
-        assert sorted(performance.performance(fine, key).collect()) == sorted(performance.performance(ads, key).collect())
+    levels = performance.performance_levels(ads)
+    for level, table in (
+        ("platform", performance.performance(ads, ["platform"])),
+        ("campaign", performance.performance(ads, ["campaign_id"])),
+        ("segment", performance.by_segment(ads)),
+    ):
+        rows = levels.where(F.col("level") == level).drop("level", "ads_count")
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, table.collect()))
+    whole = levels.where("level = 'overall'").first()
+    assert (whole.ads_count, whole.spend) == (24, rollups.overall_kpis(ads).first().total_spend)
 
 
 def test_chart_top_n_missing_dimension_and_arrays(make_ads):
@@ -277,12 +284,13 @@ def test_picks_and_insights(make_ads):
         (1, "A"), (2, "B"), (3, "A | 18-24"), (4, "B | 18-24"), (5, "C1"), (6, "C2"),
     ]
     assert picks[0].detail == "ROAS 5.00x | ROI 400.0% | CPA 1 ₫"
-    found = planning.insights(ads, rollups.overall_kpis(ads)).collect()
+    found = planning.insights(ads).collect()
     assert [r.kind for r in found] == ["dataset_scale", "overall", "best_platform", "cost_risk", "top_campaign"]
     poor = make_ads(dict(revenue=1.0))
-    assert planning.insights(poor, rollups.overall_kpis(poor)).collect()[-1].kind == "negative_roi"
+    assert planning.insights(poor).collect()[-1].kind == "negative_roi"
     none = poor.limit(0)
     assert planning.optimization_picks(none).collect() == []
+    assert column(planning.insights(none), "message") == ["Dataset scale: 0 rows", "Overall CTR: 0.00% | CVR: 0.00%"]
 
 
 def test_ties_are_broken_by_key(make_ads):
