@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from adtally.config import AD_COLUMNS, QualityRules, SCORED_COLUMNS
+from adtally.config import AD_COLUMNS, QualityRules
 from adtally.functions.kpi import row_kpis
 from adtally.operators.stats import cpa_median
 
@@ -65,9 +65,8 @@ def label_quality(
     medians = cpa_median(kpis, median, by)
     rows = kpis.join(medians, list(by)) if by else kpis.withColumn("cpa_median", medians.scalar())
     score, label = (additive_score(rules), additive_label(rules)) if mode == "additive" else (tiered_score(rules), TIERED_LABEL)
-    return rows.selectExpr(*[f"`{c}`" for c in kpis.columns], f"{score} AS quality_score").selectExpr(
-        "*", f"{label} AS quality_label"
-    )
+    # The label refers to the score beside it: one projection, not two.
+    return rows.selectExpr(*[f"`{c}`" for c in kpis.columns], f"{score} AS quality_score", f"{label} AS quality_label")
 
 
 def score_ads(
@@ -79,5 +78,4 @@ def score_ads(
 ) -> DataFrame:
     """The 17 scored columns, behind the ``by`` columns if any."""
     extra = [c for c in by if c not in AD_COLUMNS]
-    kpis = add_kpis(ads.select(*extra, *AD_COLUMNS))
-    return label_quality(kpis, mode, median, by, rules).select(*extra, *SCORED_COLUMNS)
+    return label_quality(add_kpis(ads.select(*extra, *AD_COLUMNS)), mode, median, by, rules)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.config import RECOMMENDATION_COLUMNS, SegmentWeights
-from adtally.functions.numeric import exact_sum, rounded
+from adtally.functions.numeric import exact_sum, exact_sum_sql, rounded
 from adtally.functions.text import explanation
-from adtally.operators.stats import minmax, range_stats, weight_of_total, with_stats
+from adtally.operators.stats import minmax, range_stats, with_stats
 
 WEIGHTS = SegmentWeights()
 MEASURES = ["ads_count", "total_spent", "total_conversions", "avg_ctr", "avg_cvr", "avg_cpa", "good_ratio"]
@@ -59,9 +59,11 @@ def score_segments(normalized: DataFrame, weights: SegmentWeights = WEIGHTS) ->
         f"CASE WHEN recommendation_score >= {weights.increase_at}D THEN 'increase_budget' "
         f"WHEN recommendation_score >= {weights.keep_at}D THEN 'keep_and_test' ELSE 'reduce_budget' END"
     )
-    # A score lies between 0 and 1, so plain flooring is safe.
-    scored = normalized.selectExpr("*", f"floor(({score}) * 1e6D + 0.5D) / 1e6D AS recommendation_score")
-    return scored.selectExpr("*", f"{action} AS suggested_action")
+    # A score lies between 0 and 1, so plain flooring is safe. The action refers
+    # to the score beside it.
+    return normalized.selectExpr(
+        "*", f"floor(({score}) * 1e6D + 0.5D) / 1e6D AS recommendation_score", f"{action} AS suggested_action"
+    )
 
 
 def recommend(
@@ -75,13 +77,15 @@ def recommend(
     With ``by`` every group of files is normalised and shared out on its own.
     """
     actions = score_segments(normalize_features(segment_features(scored, by), weights, by), weights)
-    weighed = weight_of_total(actions, "recommendation_score", "recommended_weight", by, MEASURES)
-    digits = dict.fromkeys(("total_spent", "total_conversions"), 4)
-    digits |= dict.fromkeys(
-        ("avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "conversion_per_spend", "recommended_weight"), 6
-    )
-    made = {"segment_id": "concat_ws('|', campaign_id, age_group)"} | {c: rounded(c, d) for c, d in digits.items()}
-    table = weighed.selectExpr(*by, *[f"{made.get(c, c)} AS {c}" for c in RECOMMENDATION_COLUMNS])
+    rows = with_stats(actions, {"total": f"cast({exact_sum_sql('recommendation_score')} AS double)"}, by, MEASURES)
+    weight = "CASE WHEN _stats.total > 0 THEN recommendation_score / _stats.total ELSE 0D END"
+    made = {
+        "segment_id": "concat_ws('|', campaign_id, age_group)",
+        "recommended_weight": f"floor(({weight}) * 1e6D + 0.5D) / 1e6D",
+    }
+    made |= {c: rounded(c, 4) for c in ("total_spent", "total_conversions")}
+    made |= {c: rounded(c, 6) for c in ("avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "conversion_per_spend")}
+    table = rows.selectExpr(*by, *[f"{made.get(c, c)} AS {c}" for c in RECOMMENDATION_COLUMNS])
     return table.orderBy(F.desc("recommendation_score"), "segment_id") if ordered else table
 
 
