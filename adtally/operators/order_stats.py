@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 PER_E_FOLD = 4096
 SPLITS = 2**18
+BROADCAST_GROUPS = 500_000
 
 
 # Buckets are coalesced so that the optimizer adds no null checks of its own to
@@ -64,7 +65,12 @@ def coarse_bucket(v: str) -> str:
     return _COARSE.format(per=PER_E_FOLD).replace("(v)", f"({v})")
 
 
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def few_groups(df: DataFrame, by: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:
+    """Whether one row per group is small enough to broadcast; reads only the key columns."""
+    return df.select(*by).distinct().limit(limit + 1).count() <= limit
+
+
+def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
     """Median of the non-null values, the mean of the middle two for even counts.
 
     Returns ``by..., median``: one row per group with values, so no row at all
@@ -76,10 +82,12 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     are, only the doubles inside that sliver are ordered in one place. Windows
     run over bucket counts and that sliver, never over data rows.
 
-    Without groups the two looked-up buckets are single rows, the only sides that
-    are always safe to broadcast.
+    The looked-up buckets are one row per group. Without groups that is a single
+    row, always safe to broadcast; with groups pass ``broadcast`` after checking
+    with :func:`few_groups`, otherwise values and buckets are shuffled together.
     """
     names = [f"`{c}`" for c in by]
+    small = broadcast or not names
     text = _MEDIAN.format(
         value=value,
         keys="".join(f"{c}, " for c in names),
@@ -91,8 +99,8 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
         split_part=", ".join(f"split.{c}" for c in names) or "1",
         coarse=coarse_bucket("v"),
         splits=SPLITS - 1,
-        hint="" if names else "/*+ BROADCAST(middle) */",
-        sliver_hint="" if names else "/*+ BROADCAST(sliver) */",
+        hint="/*+ BROADCAST(middle) */" if small else "",
+        sliver_hint="/*+ BROADCAST(sliver) */" if small else "",
     )
     return df.sparkSession.sql(text, df=df)
 

@@ -9,7 +9,8 @@ from adtally.config import ReallocationWeights
 from adtally.functions.numeric import exact_sum, exact_sum_sql, round_half_up
 from adtally.functions.text import currency_sql, explanation, fixed_sql
 from adtally.operators.filters import first_rows
-from adtally.operators.performance import performance_levels
+from adtally.operators.performance import kpi_by_dimension, performance_levels
+from adtally.operators.rollups import quality_distribution, summary
 from adtally.operators.segments import explain
 from adtally.operators.stats import minmax, range_stats, with_stats
 
@@ -199,3 +200,19 @@ def report_plan(scored: DataFrame, recommendations: DataFrame, top_n: int = 10)
     """Budget plan that redistributes everything spent so far."""
     spent = F.coalesce(F.round(exact_sum(scored, "spend"), 4).cast("double"), F.lit(0.0))
     return budget_plan(recommendations, scored.agg(spent).scalar(), top_n)
+
+
+def report(scored: DataFrame, recommendations: DataFrame, top_n: int = 10) -> dict[str, DataFrame]:
+    """The parts of the combined report.
+
+    Hand in written tables: each part is a job of its own, and none of them
+    should score the ads again.
+    """
+    return {
+        "summary": summary(scored),
+        "quality_distribution": quality_distribution(scored),
+        "campaign_kpi": kpi_by_dimension(scored),
+        "recommendation_count": recommendations.agg(F.count("*").alias("recommendation_count")),
+        "recommendations": explain(recommendations),
+        "recommendation_plan": report_plan(scored, recommendations, top_n),
+    }

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from adtally.config import AD_COLUMNS, QualityRules
 from adtally.functions.kpi import row_kpis
+from adtally.operators.order_stats import few_groups
 from adtally.operators.stats import cpa_median
 
 RULES = QualityRules()
@@ -62,8 +64,13 @@ def label_quality(
     """
     if mode not in ("additive", "tiered"):
         raise ValueError(f"mode must be 'additive' or 'tiered', got {mode!r}")
-    medians = cpa_median(kpis, median, by)
-    rows = kpis.join(medians, list(by)) if by else kpis.withColumn("cpa_median", medians.scalar())
+    # With few groups their medians travel to the rows; with many both are shuffled.
+    small = bool(by) and few_groups(kpis, by)
+    medians = cpa_median(kpis, median, by, broadcast=small)
+    if by:
+        rows = kpis.join(F.broadcast(medians) if small else medians, list(by))
+    else:
+        rows = kpis.withColumn("cpa_median", medians.scalar())
     score, label = (additive_score(rules), additive_label(rules)) if mode == "additive" else (tiered_score(rules), TIERED_LABEL)
     # The label refers to the score beside it: one projection, not two.
     return rows.selectExpr(*[f"`{c}`" for c in kpis.columns], f"{score} AS quality_score", f"{label} AS quality_label")

@@ -34,7 +34,9 @@ def with_stats(df: DataFrame, aggs: dict[str, str], by: Sequence[str] = (), shar
     return df.join(df.groupBy(*by).agg(F.expr(f"struct({fields}) AS _stats")), list(by))
 
 
-def cpa_median(kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
+def cpa_median(
+    kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), accuracy: int = 10000, broadcast: bool = False
+) -> DataFrame:
     """Median cpa as ``by..., cpa_median``; without any cpa it is 0.
 
     ``median="exact"`` finds the true middle; ``"approx"`` uses the built-in
@@ -46,7 +48,7 @@ def cpa_median(kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), a
         return kpis.groupBy(*by).agg(middle)
     if median != "exact":
         raise ValueError(f"median must be 'exact' or 'approx', got {median!r}")
-    found = exact_median(kpis, "cpa", by).withColumnRenamed("median", "cpa_median")
+    found = exact_median(kpis, "cpa", by, broadcast).withColumnRenamed("median", "cpa_median")
     if not by:
         return found.agg(F.coalesce(F.max("cpa_median"), F.lit(0.0)).alias("cpa_median"))
     groups = kpis.select(*by).distinct()

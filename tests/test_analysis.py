@@ -126,6 +126,16 @@ def test_plan_without_weights_shares_equally_and_empty_plan(spark):
     assert tuple(planning.plan_totals(empty, 100.0).first()) == (100.0, 0, 0.0)
 
 
+def test_report_redistributes_what_was_spent(make_ads):
+    scored = quality.score_ads(spread(make_ads))
+    recs = segments.recommend(scored)
+    parts = planning.report(scored, recs)
+    spent = parts["summary"].first().total_spent
+    assert sum(column(parts["recommendation_plan"], "allocated_budget")) == pytest.approx(spent, abs=0.1)
+    assert parts["recommendation_count"].first()[0] == parts["recommendations"].count() == recs.count()
+    assert parts["quality_distribution"].count() == 3 and parts["campaign_kpi"].count() == 4
+
+
 def test_reallocation_deltas_cancel(make_ads):
     out = planning.reallocate(performance.performance(spread(make_ads), ["platform"])).collect()
     assert sum(r.delta for r in out) == pytest.approx(0, abs=1e-9)
