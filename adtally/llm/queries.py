@@ -6,13 +6,15 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adtally.llm import packing, token_counts
+from adtally.llm import packing, substring_dedup, token_counts
 from adtally.llm.store import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 SEQUENCE_TOKENS = 2048
+REPEAT_WORDS = 35
 
 
 def vocabulary(name: str) -> str:
@@ -23,9 +25,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), SEQUENCE_TOKENS)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_WORDS)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), SEQUENCE_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op7_substring_dedup, op10_best_fit_packing)}
 SQL: dict[str, str] = {}
