@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import packing, substring_dedup, token_counts
+from adtally.llm import ngram_jaccard, packing, substring_dedup, token_counts
 from adtally.llm.store import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -30,9 +30,14 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_jaccard.similar_sets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "set_id")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), SEQUENCE_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op7_substring_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op7_substring_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
 SQL: dict[str, str] = {}
