@@ -1,9 +1,10 @@
 """Pre-tokens of many texts at once, as ragged numpy arrays of code points.
 
-Two public splitting patterns are supported, both over maximal runs of letters,
+Three splitting patterns are supported, all over maximal runs of letters,
 numbers, white space and other characters:
 
 * ``gpt``: ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``
+* ``letters``: runs of letters alone
 * ``clip``: ``'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+``, white space dropped
 """
 
@@ -83,7 +84,7 @@ class Pieces:
         ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1) - 1
         kinds = _kinds()[points]
         kinds[ends[:-1]] = EDGE
-        start, end = _gpt(points, kinds) if pattern == "gpt" else _clip(points, kinds)
+        start, end = {"gpt": _gpt, "clip": _clip, "letters": _letters}[pattern](points, kinds)
         order = np.argsort(start, kind="stable")
         self.start, self.end = start[order], end[order]
         self.first = np.concatenate([[0], np.searchsorted(self.start, ends, side="left")])
@@ -174,3 +175,8 @@ def _clip(points: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     keep = ((kind == OTHER) | (kind == LETTER)) & (s < e)
     digits = np.flatnonzero(kinds == NUMBER)
     return np.concatenate([s[keep], digits]), np.concatenate([e[keep], digits + 1])
+
+
+def _letters(points: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start, end, kind = _runs(kinds)
+    return start[kind == LETTER], end[kind == LETTER]

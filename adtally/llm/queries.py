@@ -8,28 +8,67 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import ngram_jaccard, packing, substring_dedup, token_counts
+from adtally.llm import chat, decontamination, language_id, ngram_jaccard, packing, secrets, substring_dedup, token_counts
 from adtally.llm.store import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 SEQUENCE_TOKENS = 2048
 REPEAT_WORDS = 35
+LEAK_WORDS = 10
 
 
 def vocabulary(name: str) -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out_fold("doc_id"))
+    model = language_id.fit(docs.where("doc_id is not null and not held_out"), "doc_id", "text", "lang")
+    return language_id.identify(docs, model, keep=["doc_id", "held_out"])
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*secrets.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    return found.select("doc_id", *[count(k) for k in secrets.BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), SEQUENCE_TOKENS)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    formatted = chat.render(chat.fold_events(chat.events_of_turns(turns.union(extra))))
+    back = chat.read_back(formatted)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("trained", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_WORDS)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), LEAK_WORDS)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_jaccard.similar_sets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "set_id")
@@ -39,5 +78,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), SEQUENCE_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op7_substring_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op3_secret_scan, op4_token_counts, op6_chat_format, op7_substring_dedup, op8_decontamination, op9_ngram_jaccard,
+        op10_best_fit_packing,
+    )
+}
 SQL: dict[str, str] = {}
