@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import chat, decontamination, language_id, ngram_jaccard, packing, secrets, substring_dedup, token_counts
+from adtally.llm import chat, decontamination, language_id, mtree_search, ngram_jaccard, packing, secrets, substring_dedup, token_counts, url_filter
 from adtally.llm.store import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -16,6 +16,10 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 SEQUENCE_TOKENS = 2048
 REPEAT_WORDS = 35
 LEAK_WORDS = 10
+URL_RULES = [
+    url_filter.Rule.parse(verdict, text)
+    for verdict, text in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+]
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +32,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"].isin(*secrets.BASE))
@@ -45,6 +53,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), SEQUENCE_TOKENS)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = F.lit("\\### Assistant: </turn> ok")
@@ -81,8 +93,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_language_id, op3_secret_scan, op4_token_counts, op6_chat_format, op7_substring_dedup, op8_decontamination, op9_ngram_jaccard,
-        op10_best_fit_packing,
+        op1_language_id, op2_url_filter, op3_secret_scan, op4_token_counts, op5_exact_top_k, op6_chat_format, op7_substring_dedup,
+        op8_decontamination, op9_ngram_jaccard, op10_best_fit_packing,
     )
 }
 SQL: dict[str, str] = {}
