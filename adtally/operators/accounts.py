@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.operators.filters import clamp
+from adtally.operators.filters import at_least_one
 
 
 def filter_users(
@@ -34,7 +34,7 @@ def list_users(users: DataFrame, limit: int = 100, offset: int = 0, **conditions
     """A page of matching users by id with the ``total`` number of matches."""
     matches = filter_users(users, **conditions)
     total = matches.agg(F.count("*")).scalar()
-    return matches.orderBy("id").offset(max(0, offset)).limit(clamp(limit, 1, 1000)).withColumn("total", total)
+    return matches.orderBy("id").offset(max(0, offset)).limit(at_least_one(limit)).withColumn("total", total)
 
 
 def sessions_with_users(sessions: DataFrame, users: DataFrame, active: bool | None = None) -> DataFrame:
@@ -65,17 +65,17 @@ def list_sessions(
     if user_id is not None:
         sessions = sessions.where(F.col("user_id") == int(user_id))
     if username:
-        wanted = users.where(F.col("username") == username.strip().lower()).agg(F.min("id"))
-        sessions = sessions.where(F.col("user_id") == wanted.scalar())
+        wanted = users.where(F.col("username") == username.strip().lower()).select(F.col("id").alias("user_id"))
+        sessions = sessions.join(wanted, "user_id", "left_semi")
     if active is not None:
         sessions = sessions.where(F.col("is_active") == bool(active))
     total = sessions.agg(F.count("*")).scalar()
     newest = [F.desc("created_at"), F.desc("session_token")]
-    page = sessions.orderBy(*newest).offset(max(0, offset)).limit(clamp(limit, 1, 1000))
-    # At most 1000 ids: the users are filtered by them where they are scanned.
+    page = sessions.orderBy(*newest).offset(max(0, offset)).limit(at_least_one(limit))
+    # Users are cut to those of the page; Spark broadcasts what measures small.
     ids = page.select(F.col("user_id").alias("id")).distinct()
-    names = users.select("id", "username").join(F.broadcast(ids), "id", "left_semi")
-    named = page.join(F.broadcast(names.withColumnRenamed("id", "user_id")), "user_id", "left")
+    names = users.select("id", "username").join(ids, "id", "left_semi")
+    named = page.join(names.withColumnRenamed("id", "user_id"), "user_id", "left")
     return named.withColumn("total", total).orderBy(*newest)
 
 

@@ -109,7 +109,7 @@ def cleaning_report(df: DataFrame, required: Sequence[str] = CLEANING_REQUIRED)
 
 
 def dedupe(df: DataFrame, keys: Sequence[str] = ("ad_id",), keep: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key.
+    """One row per key; rows without a complete key are no copies of each other and all stay.
 
     By default the row that is smallest by its other columns stays, which makes
     reruns agree. That choice is a ``min`` with partial aggregation, so a key
@@ -117,9 +117,15 @@ def dedupe(df: DataFrame, keys: Sequence[str] = ("ad_id",), keep: Sequence[Colum
     candidates instead and then needs a window per key.
     """
     keys = list(keys)
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    names = df.columns
+    df = df.withColumn("_own", F.when(missing, F.monotonically_increasing_id()))
+    keys.append("_own")
     if keep is not None:
         w = Window.partitionBy(*keys).orderBy(*keep)
-        return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+        return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*names)
     rest = [c for c in df.columns if c not in keys]
     first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return first.select(*keys, "_row.*").select(*df.columns)
+    return first.select(*keys, "_row.*").select(*names)

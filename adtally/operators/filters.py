@@ -60,8 +60,9 @@ def contains_text(df: DataFrame, **terms: str | None) -> DataFrame:
     return df
 
 
-def clamp(value: int, low: int, high: int) -> int:
-    return max(low, min(high, int(value)))
+def at_least_one(value: int) -> int:
+    """A page size: as asked for, but never below one row."""
+    return max(1, int(value))
 
 
 def first_rows(df: DataFrame, order: Sequence[Column | str], limit: int, with_total: bool = True) -> DataFrame:
@@ -76,10 +77,9 @@ def page_rows(
     order: Sequence[Column | str],
     page: int = 1,
     page_size: int = 50,
-    max_size: int = 500,
 ) -> DataFrame:
-    """One page and the ``total`` number of matches; page and size are clamped."""
-    size = clamp(page_size, 1, max_size)
+    """One page and the ``total`` number of matches; page and size are at least 1, with no upper bound."""
+    size = at_least_one(page_size)
     offset = (max(1, int(page)) - 1) * size
     total = df.agg(F.count("*")).scalar()
     return df.orderBy(*order).offset(offset).limit(size).withColumn("total", total)

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 PER_E_FOLD = 4096
 SPLITS = 2**18
-BROADCAST_GROUPS = 500_000
-
 
 # Buckets are coalesced so that the optimizer adds no null checks of its own to
 # one of the two uses of ``pool``: both stay the same plan and run once.
@@ -65,16 +63,11 @@ def coarse_bucket(v: str) -> str:
     return _COARSE.format(per=PER_E_FOLD).replace("(v)", f"({v})")
 
 
-def few_groups(df: DataFrame, by: Sequence[str], limit: int = BROADCAST_GROUPS) -> bool:
-    """Whether one row per group is small enough to broadcast; reads only the key columns."""
-    return df.select(*by).distinct().limit(limit + 1).count() <= limit
-
-
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
+def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Median of the non-null values, the mean of the middle two for even counts.
 
     Returns ``by..., median``: one row per group with values, so no row at all
-    for an empty input. Group keys must not be null.
+    for an empty input. Rows whose group key is null are a group of their own.
 
     Two passes read the data: one counts buckets, one keeps the bucket that holds
     the middle. That bucket's distinct values are split once more by linear
@@ -83,11 +76,13 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), broadcast: b
     run over bucket counts and that sliver, never over data rows.
 
     The looked-up buckets are one row per group. Without groups that is a single
-    row, always safe to broadcast; with groups pass ``broadcast`` after checking
-    with :func:`few_groups`, otherwise values and buckets are shuffled together.
+    row, always safe to broadcast; with groups Spark decides by their size.
     """
-    names = [f"`{c}`" for c in by]
-    small = broadcast or not names
+    # As one struct, keys with nulls in them compare equal.
+    names = ["`_group`"] if by else []
+    if by:
+        df = df.select(F.struct(*by).alias("_group"), value)
+    small = not names
     text = _MEDIAN.format(
         value=value,
         keys="".join(f"{c}, " for c in names),
@@ -102,7 +97,8 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), broadcast: b
         hint="/*+ BROADCAST(middle) */" if small else "",
         sliver_hint="/*+ BROADCAST(sliver) */" if small else "",
     )
-    return df.sparkSession.sql(text, df=df)
+    found = df.sparkSession.sql(text, df=df)
+    return found.select("_group.*", "median") if by else found
 
 
 def sum_before(counts: DataFrame, value: str, weight: str, name: str, bucket: str, descending: bool = False) -> DataFrame:
@@ -134,12 +130,15 @@ def global_rank(df: DataFrame, value: str, rank_name: str) -> DataFrame:
 
     Ranks are worked out per distinct value: equal values form one row before
     anything is ordered, so a value shared by a third of the rows costs nothing
-    extra. Rows whose value is null are dropped.
+    extra. Rows whose value is null or NaN share the rank behind all others.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    ahead = sum_before(counts, value, "_n", "_ahead_of", coarse_bucket(f"`{value}`"), descending=True)
-    ranks = ahead.select(value, (F.col("_ahead_of") + 1).alias(rank_name))
-    return df.join(ranks, value)
+    v = F.col(value).cast("double")
+    keyed = df.withColumn("_v", F.when(~F.isnan(v), v))
+    counts = keyed.where("_v is not null").groupBy("_v").agg(F.count("*").alias("_n"))
+    ahead = sum_before(counts, "_v", "_n", "_ahead_of", coarse_bucket("`_v`"), descending=True)
+    ranks = ahead.select("_v", (F.col("_ahead_of") + 1).alias(rank_name))
+    last = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) + 1).scalar()
+    return keyed.join(ranks, "_v", "left").withColumn(rank_name, F.coalesce(rank_name, last)).drop("_v")
 
 
 def roc_area(rows: DataFrame, score: str, label: str) -> DataFrame:
@@ -152,7 +151,9 @@ def roc_area(rows: DataFrame, score: str, label: str) -> DataFrame:
     counts = rows.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    below = sum_before(counts, score, "_neg", "_below", f"cast(floor(`{score}` * {SPLITS}) AS bigint)")
+    # By log-odds: the scores of a good model crowd at 0 and 1, where equal steps would be one bucket.
+    odds = f"ln(greatest(`{score}`, 1e-300D) / greatest(1D - `{score}`, 1e-300D))"
+    below = sum_before(counts, score, "_neg", "_below", f"cast(floor({odds} * {PER_E_FOLD}) AS bigint)")
     won = "sum(cast(_pos AS double) * (_below + _neg / 2D))"
     pairs = "nullif(cast(sum(_pos) AS double) * sum(_neg), 0D)"
     return below.agg(F.expr(f"{won} / {pairs}").alias("roc_auc"))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally.config import AD_COLUMNS, QualityRules
 from adtally.functions.kpi import row_kpis
-from adtally.operators.order_stats import few_groups
-from adtally.operators.stats import cpa_median
+from adtally.operators.stats import cpa_median, join_groups
 
 RULES = QualityRules()
 
@@ -64,11 +63,9 @@ def label_quality(
     """
     if mode not in ("additive", "tiered"):
         raise ValueError(f"mode must be 'additive' or 'tiered', got {mode!r}")
-    # With few groups their medians travel to the rows; with many both are shuffled.
-    small = bool(by) and few_groups(kpis, by)
-    medians = cpa_median(kpis, median, by, broadcast=small)
+    medians = cpa_median(kpis, median, by)
     if by:
-        rows = kpis.join(F.broadcast(medians) if small else medians, list(by))
+        rows = join_groups(kpis, medians, by)
     else:
         rows = kpis.withColumn("cpa_median", medians.scalar())
     score, label = (additive_score(rules), additive_label(rules)) if mode == "additive" else (tiered_score(rules), TIERED_LABEL)

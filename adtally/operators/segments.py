@@ -11,6 +11,7 @@ from adtally.config import RECOMMENDATION_COLUMNS, SegmentWeights
 from adtally.functions.numeric import exact_sum, exact_sum_sql, rounded
 from adtally.functions.text import explanation
 from adtally.operators.stats import minmax, range_stats, with_stats
+from adtally.sources.workdir import written
 
 WEIGHTS = SegmentWeights()
 MEASURES = ["ads_count", "total_spent", "total_conversions", "avg_ctr", "avg_cvr", "avg_cpa", "good_ratio"]
@@ -74,9 +75,12 @@ def recommend(
 ) -> DataFrame:
     """The 14-column recommendation table, best score first.
 
-    With ``by`` every group of files is normalised and shared out on its own.
+    With ``by`` every group of files is normalised and shared out on its own. The features, one
+    row per segment, are written once to the shared folder: ranges, totals and rows all read
+    them there, and the ads are scored and aggregated a single time.
     """
-    actions = score_segments(normalize_features(segment_features(scored, by), weights, by), weights)
+    features = written(segment_features(scored, by), "segments")
+    actions = score_segments(normalize_features(features, weights, by), weights)
     rows = with_stats(actions, {"total": f"cast({exact_sum_sql('recommendation_score')} AS double)"}, by, MEASURES)
     weight = "CASE WHEN _stats.total > 0 THEN recommendation_score / _stats.total ELSE 0D END"
     made = {

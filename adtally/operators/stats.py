@@ -21,21 +21,30 @@ def table_stats(df: DataFrame, aggs: dict[str, str]) -> Column:
     return df.agg(F.expr(f"struct({fields})")).scalar()
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows beside what ``groups`` holds for their ``by`` columns; null keys meet null keys."""
+    names = {c: f"_by_{c}" for c in by}
+    same = F.lit(True)
+    for c, other in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(other))
+    return rows.join(groups.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
 def with_stats(df: DataFrame, aggs: dict[str, str], by: Sequence[str] = (), shared: Sequence[str] = ()) -> DataFrame:
     """Attach a struct ``_stats`` of aggregates of the whole frame, or of each ``by`` group.
 
-    Group keys must not be null. ``shared`` names further columns for the
+    ``shared`` names further columns for the
     statistics to read: with the same columns alive, the statistics and the rows
     come from one aggregation over the facts instead of one each.
     """
     if not by:
         return df.withColumn("_stats", table_stats(df, aggs | {f"_read_{c}": f"max({c})" for c in shared}))
     fields = ", ".join(f"{sql} AS {name}" for name, sql in aggs.items())
-    return df.join(df.groupBy(*by).agg(F.expr(f"struct({fields}) AS _stats")), list(by))
+    return join_groups(df, df.groupBy(*by).agg(F.expr(f"struct({fields}) AS _stats")), by)
 
 
 def cpa_median(
-    kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), accuracy: int = 10000, broadcast: bool = False
+    kpis: DataFrame, median: str = "exact", by: Sequence[str] = (), accuracy: int = 10000
 ) -> DataFrame:
     """Median cpa as ``by..., cpa_median``; without any cpa it is 0.
 
@@ -48,11 +57,11 @@ def cpa_median(
         return kpis.groupBy(*by).agg(middle)
     if median != "exact":
         raise ValueError(f"median must be 'exact' or 'approx', got {median!r}")
-    found = exact_median(kpis, "cpa", by, broadcast).withColumnRenamed("median", "cpa_median")
+    found = exact_median(kpis, "cpa", by).withColumnRenamed("median", "cpa_median")
     if not by:
         return found.agg(F.coalesce(F.max("cpa_median"), F.lit(0.0)).alias("cpa_median"))
     groups = kpis.select(*by).distinct()
-    return groups.join(found, by, "left").na.fill(0.0, ["cpa_median"])
+    return join_groups(groups, found, by, "left").na.fill(0.0, ["cpa_median"])
 
 
 def range_stats(name: str, value: str) -> dict[str, str]:

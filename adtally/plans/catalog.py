@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.config import AD_COLUMNS, METRICS
+from adtally.config import AD_COLUMNS, METRICS, RECOMMENDATION_COLUMNS
 from adtally.functions import kpi, text
-from adtally.functions.numeric import round_columns
+from adtally.functions.numeric import round_columns, total
 from adtally.operators import (
     accounts,
     cleaning,
     filters,
     models,
+    order_stats,
     performance,
     planning,
     quality,
@@ -25,7 +26,7 @@ from adtally.operators import (
 )
 from adtally.plans import jobs, views
 from adtally.sources import readers, runlog, writers
-from adtally.sources.workdir import new_folder
+from adtally.sources.workdir import new_folder, written
 from adtally.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,12 @@ def monthly(spark: SparkSession, d: str) -> DataFrame:
     return views.ads(spark, d).withColumn("batch_id", F.date_format("date", "yyyy-MM"))
 
 
+def repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The dirty ads with unreadable numbers as 0; blank campaigns, unknown ages, null platforms and bad dates stay."""
+    ads = cleaning.coerce_metrics(views.dirty_ads(spark, d))
+    return ads.withColumns({c: F.col(c).cast("bigint") for c in ("impressions", "clicks", "conversions")})
+
+
 # --- scans, repair, cleaning
 
 
@@ -60,6 +67,20 @@ def scan_ads(spark, d):
     return readers.read_ads_csv(spark, path)
 
 
+@query
+def landed_rows(spark, d):
+    source = writers.write_csv(views.ads(spark, d), new_folder(spark, "upload"))
+    return readers.read_ads_csv(spark, writers.land_file(spark, source, new_folder(spark, "landed")))
+
+
+@query
+def newest_batch(spark, d):
+    path = new_folder(spark, "batches")
+    writers.append_batch(views.ads(spark, d).where("clicks > 100"), path, "20260101")
+    writers.append_batch(views.ads(spark, d), path, "20260102")
+    return readers.read_latest_batch(spark, path).select(*AD_COLUMNS)
+
+
 @query
 def typed_scored_ads(spark, d):
     return readers.typed_scored(views.dirty_ads(spark, d).withColumn("quality_score", F.concat("clicks", F.lit(".7"))))
@@ -125,7 +146,7 @@ def typed_load_counts(spark, d):
 
 @query
 def quality_contract(spark, d):
-    s = scored(spark, d)
+    s = written(scored(spark, d), "scored")
     return rollups.contract_violations(s, segments.recommend(s, ordered=False))
 
 
@@ -150,6 +171,28 @@ def stage_run_log(spark, d):
     return runs.select("stage", "status", F.explode("counts").alias("counter", "value"))
 
 
+@query
+def single_stages(spark, d):
+    out = new_folder(spark, "stages")
+    jobs.run_pipeline(spark, views.ads(spark, d), out, "cleaning")
+    jobs.run_pipeline(spark, views.ads(spark, d), out, "features")
+    return spark.read.parquet(f"{out}/features_engineered").select("ad_id", "clicks", "cpa")
+
+
+@query
+def rebuild_upload(spark, d):
+    out = new_folder(spark, "rebuild")
+    jobs.rebuild(spark, views.ads(spark, d), out, "20260101")
+    return spark.read.parquet(f"{out}/budget_recommendations").select(*RECOMMENDATION_COLUMNS)
+
+
+@query
+def segment_report_csv(spark, d):
+    told = segments.explain(recommendations(spark, d)).select(*writers.SEGMENT_REPORT)
+    path = writers.write_report(told, writers.SEGMENT_REPORT, new_folder(spark, "report"))
+    return spark.read.schema(told.schema).option("header", True).csv(path)
+
+
 # --- KPIs, quality, formats
 
 
@@ -199,6 +242,17 @@ def cpa_median_approx(spark, d):
     return stats.cpa_median(quality.add_kpis(views.ads(spark, d)), "approx")
 
 
+@query
+def cpa_median_approx_check(spark, d):
+    """Whether the sketched median stands within its promised rank error of the middle."""
+    kpis = quality.add_kpis(views.ads(spark, d)).where("cpa is not null")
+    middle = stats.cpa_median(kpis, "approx").scalar()
+    below, upto = F.count_if(F.col("cpa") < F.col("m")), F.count_if(F.col("cpa") <= F.col("m"))
+    share = kpis.select("cpa", middle.alias("m")).agg(below.alias("lo"), upto.alias("hi"), F.count("*").alias("n"))
+    slack = F.col("n") * 1e-4 + 1
+    return share.select(((F.col("lo") <= F.col("n") / 2 + slack) & (F.col("hi") >= F.col("n") / 2 - slack)).alias("within_error"))
+
+
 @query
 def batch_quality(spark, d):
     rows = quality.score_ads(monthly(spark, d), by=["batch_id"])
@@ -210,6 +264,25 @@ def batch_quality(spark, d):
     return round_columns(counts.join(medians, "batch_id"), 9, "cpa_median")
 
 
+@query
+def batch_quality_dirty(spark, d):
+    """Ads judged by platform, those without one as a group of their own."""
+    rows = quality.score_ads(repaired(spark, d), by=["platform"])
+    counts = rows.groupBy("platform").agg(
+        F.count("*").alias("ads_count"),
+        *[F.count_if(F.col("quality_label") == n).alias(f"{n}_count") for n in ("good", "average", "bad")],
+    )
+    medians = stats.cpa_median(quality.add_kpis(repaired(spark, d)), by=["platform"])
+    return round_columns(stats.join_groups(counts, medians, ["platform"]), 9, "cpa_median")
+
+
+@query
+def small_money_totals(spark, d):
+    tiny = views.ads(spark, d).select("campaign_id", (F.col("spend") * 1e-9).alias("tiny"))
+    sums = tiny.groupBy("campaign_id").agg(total(tiny, "tiny").alias("tiny"))
+    return round_columns(sums, 12, "tiny")
+
+
 @query
 def batch_recommendations(spark, d):
     rows = quality.score_ads(monthly(spark, d), by=["batch_id"])
@@ -265,7 +338,8 @@ def filter_segments(spark, d):
 
 @query
 def list_ads(spark, d):
-    return filters.first_rows(filters.filter_ads(scored(spark, d), quality_label="Average"), AD_COLUMNS, 100)
+    found = written(filters.filter_ads(scored(spark, d), quality_label="Average"), "matches")
+    return filters.first_rows(found, AD_COLUMNS, 100)
 
 
 @query
@@ -327,7 +401,7 @@ def last_login(spark, d):
 
 @query
 def ads_with_action(spark, d):
-    s = scored(spark, d)
+    s = written(scored(spark, d), "scored")
     return planning.with_actions(s, segments.recommend(s, ordered=False)).select(
         "ad_id", "campaign_id", "age_group", "quality_label", "recommendation_score", "suggested_action"
     )
@@ -390,7 +464,7 @@ def quality_distribution(spark, d):
 
 @query
 def filter_options(spark, d):
-    s = scored(spark, d)
+    s = written(scored(spark, d), "scored")
     return rollups.filter_options(s, segments.recommend(s, ordered=False))
 
 
@@ -399,6 +473,14 @@ def campaign_ranking(spark, d):
     return rollups.campaign_ranking(performance.performance(views.ads(spark, d), ["campaign_id"]))
 
 
+@query
+def ranking_with_gaps(spark, d):
+    """Campaigns without a known return share the last rank."""
+    rows = performance.performance(views.ads(spark, d), ["campaign_id"])
+    roi = F.when(F.col("campaign_id") == "CAMP_001", F.lit(float("nan"))).when(F.col("campaign_id") != "CAMP_002", F.col("roi_pct"))
+    return order_stats.global_rank(rows.select("campaign_id", roi.alias("roi")), "roi", "place").select("campaign_id", "place")
+
+
 @query
 def cpc_vs_cvr_by_campaign(spark, d):
     return rollups.cpc_vs_cvr(performance.performance(views.ads(spark, d), ["campaign_id"]))
@@ -422,6 +504,11 @@ def perf_platform(spark, d):
     return performance.performance(views.ads(spark, d), ["platform"])
 
 
+@query
+def platforms_dirty(spark, d):
+    return performance.performance(repaired(spark, d), ["platform"])
+
+
 @query
 def perf_campaign(spark, d):
     return performance.performance(views.ads(spark, d), ["campaign_id"])
@@ -452,11 +539,6 @@ def kpi_by_age(spark, d):
     return performance.kpi_by_age(quality.add_kpis(views.ads(spark, d)))
 
 
-@query
-def kpi_by_gender(spark, d):
-    return performance.kpi_by_gender(quality.add_kpis(views.ads(spark, d)))
-
-
 @query
 def ctr_heatmap(spark, d):
     return performance.ctr_heatmap(views.ads(spark, d), views.PLATFORMS)
@@ -472,6 +554,11 @@ def daily_series(spark, d):
     return performance.daily_series(views.ads(spark, d))
 
 
+@query
+def daily_dirty(spark, d):
+    return performance.daily_series(repaired(spark, d))
+
+
 @query
 def spend_vs_revenue_daily(spark, d):
     return performance.spend_vs_revenue(performance.daily_series(views.ads(spark, d)))
@@ -491,6 +578,12 @@ def segment_features(spark, d):
     return round_columns(segments.segment_features(scored(spark, d)), 6, *names)
 
 
+@query
+def segments_dirty(spark, d):
+    names = ["avg_ctr", "avg_cvr", "avg_cpa", "good_ratio", "cpa_inverse", "conversion_per_spend"]
+    return round_columns(segments.segment_features(quality.score_ads(repaired(spark, d))), 6, *names)
+
+
 @query
 def segment_normalized(spark, d):
     names = [f"norm_{n}" for n in segments.WEIGHTS.features]
@@ -529,10 +622,29 @@ def budget_plan_totals(spark, d):
 
 @query
 def report_plan(spark, d):
-    s = scored(spark, d)
+    s = written(scored(spark, d), "scored")
     return planning.report_plan(s, segments.recommend(s, ordered=False))
 
 
+@query
+def combined_report(spark, d):
+    """All parts of the report as one list of figures."""
+    s = written(scored(spark, d), "scored")
+    parts = planning.report(s, written(segments.recommend(s, ordered=False), "recommendations"))
+
+    def figures(part: str, item, value):
+        return parts[part].select(F.lit(part).alias("part"), item.alias("item"), value.cast("double").alias("value"))
+
+    return (
+        figures("summary", F.lit("total_ads"), F.col("total_ads"))
+        .union(figures("summary", F.lit("total_spent"), F.col("total_spent")))
+        .union(figures("campaign_kpi", F.col("label"), F.col("spend")))
+        .union(figures("recommendation_count", F.lit("segments"), F.col("recommendation_count")))
+        .union(figures("recommendations", F.col("segment_id"), F.col("recommendation_score")))
+        .union(figures("recommendation_plan", F.col("segment_id"), F.col("allocated_budget")))
+    )
+
+
 @query
 def platform_reallocation(spark, d):
     platforms = performance.performance(views.ads(spark, d), ["platform"])
@@ -633,6 +745,25 @@ def predictor_predictions(spark, d):
     return models.predict_conversions(model, rows.select("ad_id", *models.PREDICTOR_FEATURES))
 
 
+@query
+def predictor_residuals_check(spark, d):
+    """Least squares leaves residuals that add up to 0 and are orthogonal to every feature, relative to their sizes."""
+    rows = written(quality.add_kpis(views.ads(spark, d)), "kpis")
+    model = models.train_predictor(rows, new_folder(spark, "model")).model
+    return models.residual_check(model, rows)
+
+
+@query
+def classifier_check(spark, d):
+    """Rows, and rows whose probabilities do not add up to 1 or whose label is not the likeliest."""
+    rows = written(scored(spark, d), "scored")
+    model = models.train_classifier(rows, new_folder(spark, "model")).model
+    found = models.predict_effectiveness(model, rows.select("ad_id", *models.CLASSIFIER_FEATURES))
+    p = F.col("probabilities")
+    odd = (F.abs(F.aggregate(F.map_values(p), F.lit(0.0), lambda t, x: t + x) - 1) > 1e-9) | (F.element_at(p, F.col("prediction_label")) < F.col("confidence"))
+    return found.agg(F.count("*").alias("row_count"), F.count_if(odd).alias("odd_rows"))
+
+
 @query
 def rule_baseline_metrics(spark, d):
     return models.rule_metrics(quality.add_kpis(views.ads(spark, d)))
@@ -664,5 +795,5 @@ def stream_daily_platform(spark, d):
     schema = views.table(spark, d, "lineitem").schema
     facts = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
     out, state = new_folder(spark, "stream-out"), new_folder(spark, "stream-state")
-    landing.append_available(landing.daily_platform(views.ads_of(facts)), out, state).awaitTermination()
-    return spark.read.parquet(out)
+    landing.append_available(views.ads_of(facts), out, state).awaitTermination()
+    return landing.daily_platform(spark.read.parquet(out))

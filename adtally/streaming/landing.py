@@ -24,11 +24,12 @@ def with_row_kpis(ads: DataFrame) -> DataFrame:
     return ads.select("*", *row_kpis())
 
 
-def daily_platform(ads: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Metric sums per calendar day and platform.
+def closed_days(ads: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Metric sums per calendar day and platform, for readers that want each day once and final.
 
     ``lateness`` is how long a day stays open for late rows; a day is emitted
-    once and its state dropped when the watermark has passed its end.
+    once and its state dropped when the watermark has passed its end. Open days are
+    missing and later rows are not counted: :func:`daily_platform` has both.
     """
     # Midnight UTC whatever the session zone, so that windows are calendar days.
     timed = ads.withColumn("event_ts", F.timestamp_seconds(F.unix_date("date") * F.lit(86400)))
@@ -49,6 +50,21 @@ def daily_platform(ads: DataFrame, lateness: str = "2 days") -> DataFrame:
     )
 
 
+def daily_platform(landed: DataFrame) -> DataFrame:
+    """Metric sums per calendar day and platform over all rows that a stream has landed.
+
+    The stream only appends rows, so neither the order of files nor a late one loses any.
+    With ``landed`` cut to the dates that new files touch, only their days are built anew.
+    """
+    return landed.groupBy("date", "platform").agg(
+        F.sum("impressions").alias("impressions"),
+        F.sum("clicks").alias("clicks"),
+        F.sum("conversions").alias("conversions"),
+        F.expr(exact_sum_sql("spend")).cast("double").alias("spend"),
+        F.expr(exact_sum_sql("revenue")).cast("double").alias("revenue"),
+    )
+
+
 def append_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process everything there is now into parquet, then stop.
 

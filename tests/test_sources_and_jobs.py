@@ -168,7 +168,7 @@ def test_stream_days_close_behind_the_watermark(spark, make_ads, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     days = [dict(date="2026-04-01"), dict(date="2026-04-01"), dict(date="2026-04-02"), dict(date="2026-04-05")]
     make_ads(*days).coalesce(1).write.option("header", True).csv(source)
-    landing.append_available(landing.daily_platform(landing.stream_ads(spark, source)), out, state).awaitTermination()
+    landing.append_available(landing.closed_days(landing.stream_ads(spark, source)), out, state).awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert sorted((str(r.date), r.platform, r.clicks, r.spend) for r in rows) == [
         ("2026-04-01", "P1", 200, 20.0), ("2026-04-02", "P1", 100, 10.0),
