@@ -1,4 +1,4 @@
-"""Queries of this package over the given tables, and the SQL that some of them are checked by."""
+"""Queries of this package over the given tables."""
 
 from __future__ import annotations
 
@@ -78,12 +78,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), LEAK_WORDS)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_jaccard.similar_sets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "set_id")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +97,3 @@ QUERIES = {
         op8_decontamination, op9_ngram_jaccard, op10_best_fit_packing,
     )
 }
-SQL: dict[str, str] = {}

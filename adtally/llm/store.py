@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.sources.workdir import new_folder
+from adtally.sources.workdir import written
 
+__all__ = ["parts_for", "table", "text_megabytes", "written"]
 TARGET_MB = 48
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: later work survives lost executors."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
