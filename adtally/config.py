@@ -137,3 +137,15 @@ class FunnelDefaults:
 
 
 REVENUE_PER_CONVERSION = 10.0
+
+# --- fixed values: sentences of insights and trends
+INSIGHT_TEXTS = {
+    "dataset_scale": "Dataset scale: %,d rows",
+    "overall": "Overall CTR: %s%% | CVR: %s%%",
+    "best_platform": "Best platform (ROAS): %s → %sx",
+    "cost_risk": "Cost risk platform (CPA): %s → %s",
+    "top_campaign": "Top campaign to scale: %s (ROAS %sx)",
+    "negative_roi": "Negative ROI: prioritize budget + targeting optimization",
+}
+TREND_STABLE = "→ Ổn định"
+# --- end of fixed values

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adtally.config import ACTION_TEXT
+from adtally.config import ACTION_TEXT, TREND_STABLE
 from adtally.functions.numeric import as_col, round_half_up, rounded
 
 
@@ -46,7 +46,7 @@ def trend_text(current: Column, previous: Column) -> Column:
     """Arrow and absolute change in percent; unchanged or unknown reads as stable."""
     change = F.when(previous != 0, (current - previous) / F.abs(previous) * 100).otherwise(F.lit(0.0))
     arrow = F.when(change > 0, F.lit("↑")).otherwise(F.lit("↓"))
-    return F.when(previous.isNull() | (current == previous), F.lit("→ Ổn định")).otherwise(
+    return F.when(previous.isNull() | (current == previous), F.lit(TREND_STABLE)).otherwise(
         F.concat(arrow, F.lit(" "), fixed(F.abs(change), 1), F.lit("%"))
     )
 

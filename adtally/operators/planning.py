@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.config import ReallocationWeights
+from adtally.config import INSIGHT_TEXTS, ReallocationWeights
 from adtally.functions.numeric import exact_sum, exact_sum_sql, round_half_up
 from adtally.functions.text import currency_sql, explanation, fixed_sql
 from adtally.operators.filters import first_rows
@@ -185,13 +185,17 @@ def insights(ads: DataFrame) -> DataFrame:
         F.expr(f"{_best('platform', '-cpa')} AS risk"),
         F.expr(f"{_best('campaign', '-roas', '-conversions')} AS top"),
     )
+    figures = {
+        "dataset_scale": ["n"],
+        "overall": [fixed_sql("ctr_pct", 2), fixed_sql("cvr_pct", 2)],
+        "best_platform": ["best.name", fixed_sql("best.roas", 2)],
+        "cost_risk": ["risk.name", currency_sql("risk.cpa")],
+        "top_campaign": ["top.name", fixed_sql("top.roas", 2)],
+    }
+    needs = {"best_platform": "best IS NOT NULL", "cost_risk": "risk IS NOT NULL", "top_campaign": "top IS NOT NULL", "negative_roi": "roi_pct < 0"}
     texts = {
-        "dataset_scale": "format_string('Dataset scale: %,d rows', n)",
-        "overall": f"concat('Overall CTR: ', {fixed_sql('ctr_pct', 2)}, '% | CVR: ', {fixed_sql('cvr_pct', 2)}, '%')",
-        "best_platform": f"concat('Best platform (ROAS): ', best.name, ' → ', {fixed_sql('best.roas', 2)}, 'x')",
-        "cost_risk": f"concat('Cost risk platform (CPA): ', risk.name, ' → ', {currency_sql('risk.cpa')})",
-        "top_campaign": f"concat('Top campaign to scale: ', top.name, ' (ROAS ', {fixed_sql('top.roas', 2)}, 'x)')",
-        "negative_roi": "CASE WHEN roi_pct < 0 THEN 'Negative ROI: prioritize budget + targeting optimization' END",
+        kind: f"CASE WHEN {needs.get(kind, 'true')} THEN format_string('{text}'{''.join(', ' + f for f in figures.get(kind, []))}) END"
+        for kind, text in INSIGHT_TEXTS.items()
     }
     return _messages(row, "message", [(f"'{k}' AS kind", f"{t} AS message") for k, t in texts.items()])
 
