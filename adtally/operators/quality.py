@@ -52,22 +52,23 @@ TIERED_LABEL = "CASE WHEN quality_score = 3 THEN 'good' WHEN quality_score = 2 T
 def label_quality(
     kpis: DataFrame,
     mode: str = "additive",
-    median: str = "exact",
+    median: str | float = "exact",
     by: Sequence[str] = (),
     rules: QualityRules = RULES,
 ) -> DataFrame:
-    """Add ``quality_score`` and ``quality_label``.
+    """Add ``quality_score`` and ``quality_label``. ``median`` may also be a number that is known already.
 
     The cpa threshold is the median of the whole frame, or of each ``by`` group:
     files landed together but judged each on its own are scored in one job.
     """
     if mode not in ("additive", "tiered"):
         raise ValueError(f"mode must be 'additive' or 'tiered', got {mode!r}")
-    medians = cpa_median(kpis, median, by)
-    if by:
-        rows = join_groups(kpis, medians, by)
+    if isinstance(median, float):
+        rows = kpis.withColumn("cpa_median", F.lit(median))
+    elif by:
+        rows = join_groups(kpis, cpa_median(kpis, median, by), by)
     else:
-        rows = kpis.withColumn("cpa_median", medians.scalar())
+        rows = kpis.withColumn("cpa_median", cpa_median(kpis, median).scalar())
     score, label = (additive_score(rules), additive_label(rules)) if mode == "additive" else (tiered_score(rules), TIERED_LABEL)
     # The label refers to the score beside it: one projection, not two.
     return rows.selectExpr(*[f"`{c}`" for c in kpis.columns], f"{score} AS quality_score", f"{label} AS quality_label")

@@ -48,13 +48,14 @@ def clean_stage(raw: DataFrame, path: str, fmt: str) -> dict[str, int]:
 def features_stage(ads: DataFrame, path: str, fmt: str, mode: str, median: str) -> tuple[dict[str, int], float]:
     kpis = quality.add_kpis(cleaning.canonicalize(ads).select(*AD_COLUMNS))
     seen = Observation("features")
-    scored = quality.label_quality(kpis, mode, median)
+    # Found once: the value on record is the one the labels were judged by.
+    middle = float(stats.cpa_median(kpis, median).first()["cpa_median"])
+    scored = quality.label_quality(kpis, mode, middle)
     watched = scored.observe(
         seen, F.count(F.lit(1)).alias("total_records"), F.count_if(F.col("cpa").isNotNull()).alias("with_cpa")
     )
     _write(watched, path, fmt)
-    middle = stats.cpa_median(kpis, median).first()["cpa_median"]
-    return dict(seen.get), float(middle)
+    return dict(seen.get), middle
 
 
 def aggregation_stage(scored: DataFrame, campaigns: str, ages: str, fmt: str) -> dict[str, int]:
