@@ -9,7 +9,8 @@ at its own offset, and a proximity match if all terms stand within ``slop`` word
 Frequent terms are never looked up unless a window has no rarer one.
 
 The test side is broadcast only while its texts stay below ``BROADCAST_MB``; above it,
-Spark shuffles postings and windows by term.
+Spark shuffles postings and windows by term. Up to ``LISTED_TERMS`` rarest terms are
+written into the plan, so that a text is searched for them in place; more are joined.
 """
 
 from __future__ import annotations
@@ -22,24 +23,24 @@ from pyspark.sql import functions as F
 from adtally.llm.store import written
 
 BROADCAST_MB = 16
-#: What stands between words, before A-Z are lower-cased.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LISTED_TERMS = 20_000
+#: Fixed value: what stands between words, once A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def lower_ascii(word: Column) -> Column:
-    """A-Z lower-cased and nothing else; words of ASCII alone take the fast way."""
-    plain = F.length(word) == F.octet_length(word)
-    return F.when(plain, F.lower(word)).otherwise(F.translate(word, string.ascii_uppercase, string.ascii_lowercase))
+def lower_ascii(text: Column) -> Column:
+    """A-Z lower-cased and nothing else."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
 def words_of(text: Column) -> Column:
-    """Words in their own case; an empty text has none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN), "")
+    """Lower-cased words; an empty text has none."""
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def _windows(tests: DataFrame, length: int) -> DataFrame:
     """Distinct word sequences with the items they come from, as sorted strings."""
-    words = tests.select("item", F.transform(words_of(F.col("text")), lower_ascii).alias("words")).where(F.size("words") > 0)
+    words = tests.select("item", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     size = F.least(F.size("words"), F.lit(length))
     each = words.select("item", "words", size.alias("size"), F.explode(F.sequence(F.lit(1), F.size("words") - size + 1)).alias("at"))
     return each.select("item", F.slice("words", F.col("at"), F.col("size")).alias("seq")).groupBy("seq").agg(F.array_sort(F.collect_set("item")).alias("items"))
@@ -74,18 +75,25 @@ def find_leaks(
 
     windows = written(_windows(tests, length), "windows")
     vocabulary = windows.select(F.explode("seq").alias("term")).distinct()
-    tokens = rows.select(F.explode(words_of(F.col("text"))).alias("word")).select(lower_ascii(F.col("word")).alias("term"))
+    tokens = rows.select(F.explode(words_of(F.col("text"))).alias("term"))
     counts = tokens.join(sized(vocabulary), "term").groupBy("term").agg(F.count("*").alias("n"))
     anchors = written(_rarest(windows, counts), "anchors")
 
     # Postings: the words around a rarest term, wide enough for any window and the slop.
     reach = length - 1 + slop
-    placed = rows.select("id", "key", words_of(F.col("text")).alias("words")).select("id", "key", "words", F.posexplode("words").alias("pos", "word"))
-    listed = placed.select("id", "key", "pos", lower_ascii(F.col("word")).alias("term"), "words")
-    met = listed.join(sized(anchors), "term")
-    begin = F.greatest(F.col("pos") - reach, F.lit(0))
-    met = met.select("id", "key", "pos", "offset", "seq", "items", begin.alias("begin"), F.slice("words", begin + 1, F.lit(2 * reach + 1)).alias("around"))
-    met = met.withColumn("around", F.transform("around", lower_ascii)).withColumn("start", F.col("pos") - F.col("offset"))
+    known = [r["term"] for r in anchors.select("term").distinct().limit(LISTED_TERMS + 1).collect()]
+    texts = rows.select("id", "key", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
+    places = F.sequence(F.lit(1), F.size("words"))
+    if len(known) <= LISTED_TERMS:
+        places = F.filter(places, lambda i: F.element_at("words", i).isin(known))
+
+    def posting(i: Column) -> Column:
+        first = F.greatest(i - reach, F.lit(1))
+        return F.struct((i - 1).alias("pos"), F.element_at("words", i).alias("term"), (first - 1).alias("begin"), F.slice("words", first, F.lit(2 * reach + 1)).alias("around"))
+
+    listed = texts.select("id", "key", F.inline(F.transform(places, posting)))
+    met = listed.join(sized(anchors), "term").select("id", "key", "pos", "offset", "seq", "items", "begin", "around")
+    met = met.withColumn("start", F.col("pos") - F.col("offset"))
     exact = (F.col("start") >= 0) & (F.slice("around", F.greatest(F.col("start") - F.col("begin") + 1, F.lit(1)), F.size("seq")) == F.col("seq"))
     near = F.size(F.array_except("seq", "around")) == 0
     met = met.withColumn("exact", exact).where(F.col("exact") | near)
