@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from adtally.llm.store import written
 
-PIVOTS, TREE_ROWS, QUERY_ROWS, PAGE, FANOUT = 512, 8192, 4096, 128, 16
+PIVOTS, TREE_ROWS, QUERY_ROWS, PAGE, FANOUT = 512, 8192, 4096, 512, 16
 SLACK = 1e-6
 PAGES = "cell long, tree long, node long, leaf boolean, vectors binary, ids binary, extra binary, radius binary, from_center binary, child binary, center binary, center_extra double, cover double"
 
@@ -135,7 +135,8 @@ class Tree:
             self.computed += len(open_)
             score = vectors[open_] @ q
             if leaf:
-                for i in np.lexsort((ids[open_], -score)).tolist():
+                good = np.flatnonzero(score >= bound())
+                for i in good[np.lexsort((ids[open_[good]], -score[good]))].tolist():
                     if score[i] < bound():
                         break
                     one = int(ids[open_[i]])
