@@ -7,8 +7,9 @@
    lengths share a sequence) by multiplicative weights: each length has a price that
    falls as it gets covered, a knapsack dynamic program finds the dearest
    configuration, and it is taken for half of what its scarcest length still needs.
-   Amounts are rounded down; the few pieces left over are placed by best fit, largest
-   length first, again by histogram.
+   Of configurations that fill a sequence, amounts are rounded down, whole or in part
+   (``SHARES``, whichever ends with the fewest sequences); the pieces left over are
+   placed by best fit, largest length first, again by histogram.
 3. Every piece gets a number among those of its length (a count per task and length,
    no window over pieces), and the plan's runs turn that number into a sequence and
    an offset. The runs are bounded by the capacity, not by the data.
@@ -34,6 +35,8 @@ from adtally.llm.wordhash import slices
 SLICE_BYTES = 4 << 20
 PIECES = "piece int, start long, length long, ids_crc32 long, block int, nth long"
 PRICE_FALL = 4.0
+#: How much of the fractional amounts is tried when they are rounded.
+SHARES = (1.0, 0.9, 0.75, 0.5)
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -90,14 +93,8 @@ class Plan:
 def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200) -> Plan:
     lengths = np.array(sorted(histogram), np.int64)
     left = np.array([histogram[n] for n in lengths.tolist()], np.int64)
-    uses: dict[tuple[tuple[int, int], ...], int] = defaultdict(int)
-    for config, amount in _weights(lengths, left, capacity, rounds).items():
-        if times := int(amount):
-            uses[config] += times
-            for n, k in config:
-                left[np.searchsorted(lengths, n)] -= times * k
-    for config, times in _best_fit(lengths, left, capacity):
-        uses[config] += times
+    amounts = _weights(lengths, left, capacity, rounds)
+    uses = min((_rounded(lengths, left, capacity, amounts, share) for share in SHARES), key=lambda x: sum(x.values()))
     runs, number, taken = [], 0, dict.fromkeys(lengths.tolist(), 0)
     for config, times in uses.items():
         offset = 0
@@ -109,6 +106,20 @@ def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200)
     return Plan(runs, number)
 
 
+def _rounded(lengths: np.ndarray, left: np.ndarray, capacity: int, amounts: dict[tuple, float], share: float) -> dict[tuple, int]:
+    """Whole numbers of each configuration that fills a sequence, from ``share`` of its amount; best fit for the rest."""
+    left = left.copy()
+    uses: dict[tuple[tuple[int, int], ...], int] = defaultdict(int)
+    for config, amount in amounts.items():
+        if (times := int(amount * share)) and sum(n * k for n, k in config) == capacity:
+            uses[config] += times
+            for n, k in config:
+                left[np.searchsorted(lengths, n)] -= times * k
+    for config, times in _best_fit(lengths, left, capacity):
+        uses[config] += times
+    return uses
+
+
 def _weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
     """Fractional amounts of configurations that need no more pieces of a length than there are."""
     covered = np.zeros(len(lengths))
