@@ -10,10 +10,10 @@ the smaller side can still reach the similarity. What stays is counted exactly o
 the full sets.
 
 A column that many sets share would give all pairs among them. Columns of more than
-``block`` sets instead compare every set with one of them, the column's first set. Two
-sets of such a column are then either linked through it, or their common n-grams with
-it bound their own overlap; only pairs of different components that this bound leaves
-are counted. No link between different components is lost, and no group is paired out.
+``block`` sets instead compare every set with one of them, the column's first set.
+What that leaves in different components is compared with a few other sets of the
+column, and only then with all that sizes and parity signatures leave. No link between
+different components is lost, and no group is paired out.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ from adtally.llm.wordhash import Words, mix, pack64, slices, text_bytes, unpack,
 
 BLOCK = 16
 SKETCH_BITS, SKETCH_SLICES, FAN_IN = 20, 16, 64
+FILTER_BITS, FILTER_SLICES = 24, 64
+PARITY = 1024
+DELEGATES, DELEGATE_ROUNDS = 4, 2
 PERCENT = 80
 U64 = np.uint64
 
@@ -67,6 +70,15 @@ class Sets:
         self.print = mix((total[self.first[1:]] - total[self.first[:-1]]) + self.count.astype(U64)).view(np.int64)
 
 
+    def signs(self) -> pa.Array:
+        """Parity signature of each set: bit j says whether an odd number of its n-grams fall on j."""
+        parity = np.zeros((len(self.count), PARITY), np.uint8)
+        for i, (lo, hi) in enumerate(zip(self.first[:-1], self.first[1:], strict=True)):
+            parity[i] = np.bincount((self.gram[lo:hi] & U64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+        width = PARITY // 64
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(self.count) + 1) * width, pa.int32()), pa.array(np.packbits(parity, axis=1).view(np.int64).ravel()))
+
+
 def prefix_sizes(count: np.ndarray, percent: int) -> np.ndarray:
     return np.where(count > 0, count - (percent * count + 99) // 100 + 1, 0)
 
@@ -83,17 +95,17 @@ def _cards(rows: DataFrame, size: int, id_type: str) -> DataFrame:
                 sets = Sets(part.column("text"), size)
                 sketch += np.bincount((sets.gram >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
                 none, n = pa.nulls(len(part), pa.int32()), len(part)
-                columns = [part.column("id"), part.column("key"), pa.array(sets.count, pa.int64()), pa.array(sets.print, mask=sets.count == 0), none, none, pa.nulls(n, pa.binary())]
+                columns = [part.column("id"), part.column("key"), pa.array(sets.count, pa.int64()), pa.array(sets.print, mask=sets.count == 0), sets.signs(), none, none, pa.nulls(n, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
         if kind is not None:
             block = TaskContext.get().partitionId()
             data = [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, SKETCH_SLICES)]
             m = SKETCH_SLICES
-            columns = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()), pa.array([block] * m, pa.int32()), pa.array(data, pa.binary())]
+            columns = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.array(range(m), pa.int32()), pa.array([block] * m, pa.int32()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["id", "key", "n", "set_id", "slice", "block", "data"]
-    return rows.mapInArrow(run, f"id {id_type}, key long, n long, set_id long, slice int, block int, data binary")
+    names = ["id", "key", "n", "set_id", "signs", "slice", "block", "data"]
+    return rows.mapInArrow(run, f"id {id_type}, key long, n long, set_id long, signs array<long>, slice int, block int, data binary")
 
 
 def _sum_sketches(group: pd.DataFrame) -> pd.DataFrame:
@@ -198,11 +210,110 @@ def _rest(n: str, percent: int) -> Column:
     return F.floor((percent * F.col(n) + 99) / 100) - 1
 
 
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << FILTER_BITS))
+
+
+def _key_filter(keys: DataFrame) -> np.ndarray:
+    """Bits of the slots that ``keys`` fall into: 2**FILTER_BITS bits, whatever the data's size."""
+    width = (1 << FILTER_BITS) // FILTER_SLICES
+
+    def bits(group: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(width, np.uint8)
+        marks[group["slot"].to_numpy() % width] = 1
+        return pd.DataFrame({"slice": [group["slice"].iloc[0]], "data": [np.packbits(marks).tobytes()]})
+
+    slots = keys.select(_slot(F.col("key")).alias("slot")).distinct().withColumn("slice", F.floor(F.col("slot") / width))
+    out = np.zeros((FILTER_SLICES, width // 8), np.uint8)
+    for r in slots.groupBy("slice").applyInPandas(bits, "slice long, data binary").collect():
+        out[r["slice"]] = np.frombuffer(bytes(r["data"]), np.uint8)
+    return out.ravel()
+
+
+def _full_sets(rows: DataFrame, size: int, keys: DataFrame) -> DataFrame:
+    """Whole sets of the rows with one of ``keys`` (and of a few others).
+
+    The keys reach the tasks as a filter of fixed size, so that no text is shuffled. What passes
+    beside them is not joined with anything later on.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(_key_filter(keys))
+
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        slot = batch.column("slot").to_numpy()
+        wanted = (shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
+        for part in slices(batch.filter(pa.array(wanted.astype(bool))), "text"):
+            sets = Sets(part.column("text"), size)
+            grams = pa.ListArray.from_arrays(pa.array(sets.first, pa.int32()), pa.array(sets.gram.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(sets.print), grams], ["set_id", "grams"])
+
+    picked = rows.select(_slot(F.col("key")).alias("slot"), "text")
+    return map_rows(picked, "set_id long, grams array<long>", step)
+
+
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` with ``i``, the number of n-grams that both full sets hold."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("grams").alias("left"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("grams").alias("right"))
-    return pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("left", "right"))).drop("left", "right")
+    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    held = sets.select("set_id", "grams").join(ids, "set_id", "left_semi")
+    left = held.select(F.col("set_id").alias("a"), F.col("grams").alias("left"))
+    right = held.select(F.col("set_id").alias("b"), F.col("grams").alias("right"))
+    found = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("left", "right"))).drop("left", "right")
+    return found.dropDuplicates(["a", "b"])  # a set may have been written twice
+
+
+def _can_reach(percent: int, n: str, m: str) -> Column:
+    """Whether the signatures ``sx`` and ``sy`` leave sets of these sizes similar.
+
+    Two sets differ in at least as many n-grams as their signatures differ in bits, and similar
+    ones in at most (100 - percent) / (100 + percent) of their sizes' sum.
+    """
+    differ = F.aggregate(F.zip_with("sx", "sy", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    return (100 + percent) * differ <= (100 - percent) * (F.col(n) + F.col(m))
+
+
+def _met(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components around one hub that may be similar."""
+    close = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    met = x.join(y, "hub").where((F.col("of_x") != F.col("of_y")) & close & _can_reach(percent, "n", "m"))
+    swap = F.col("x") > F.col("y")
+    return met.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(swap, F.col("m")).otherwise(F.col("n")).alias("na"), F.when(swap, F.col("n")).otherwise(F.col("m")).alias("nb")
+    ).distinct()
+
+
+def _join_around_hubs(base: DataFrame, links: DataFrame, verified, percent: int) -> DataFrame:
+    """Labels of all links, with those among sets of wide columns that are not linked with the column's first set.
+
+    ``base``: hub, x, n and the signature sx of every set x in a wide column of a hub.
+    First such a set meets a few others of its star, some of them not linked with the hub either:
+    most find their component there, and the work is linear. The rest meets all sets of other
+    components in the star that sizes and signatures leave. ``verified`` keeps the similar pairs.
+    """
+    labels = connected_components(links)
+    other = {"x": "y", "n": "m", "of_x": "of_y", "sx": "sy"}
+    for turn in range(DELEGATE_ROUNDS + 1):
+        of = labels.withColumnRenamed("node", "x").withColumnRenamed("label", "of_x")
+        of_hub = labels.withColumnRenamed("node", "hub").withColumnRenamed("label", "of_hub")
+        star = base.join(of, "x", "left").join(of_hub, "hub", "left").withColumns({"of_x": F.coalesce("of_x", "x"), "of_hub": F.coalesce("of_hub", "hub")})
+        star = written(star.select("hub", "x", "n", "sx", "of_x", "of_hub"), "star")
+        apart = star.where("of_x <> of_hub").drop("of_hub")
+        if apart.isEmpty():
+            break
+        if turn < DELEGATE_ROUNDS:
+            row = F.struct("x", "n", "sx", "of_x")
+            seeds = range(turn * DELEGATES, (turn + 1) * DELEGATES)
+            chosen = [F.min(F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r"))) for j in seeds]
+            chosen += [F.min(F.when(F.col("of_x") != F.col("of_hub"), F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r")))) for j in seeds]
+            picked = star.groupBy("hub").agg(F.array_compact(F.array(*chosen))["r"].alias("rows")).select("hub", F.explode(F.array_distinct("rows")).alias("r")).select("hub", "r.*")
+        else:
+            picked = star.drop("of_hub")
+        met = written(_met(apart, picked.withColumnsRenamed(other), percent), "met")
+        if met.isEmpty():
+            continue
+        late = written(verified(met).select("a", "b"), "late")
+        if not late.isEmpty():
+            links = links.union(late)
+            labels = connected_components(links)
+    return labels
 
 
 def similar_sets(
@@ -234,37 +345,22 @@ def similar_sets(
     possible = F.least(most + F.greatest(_rest("na", percent), _rest("nb", percent)), F.col("na"), F.col("nb"))
     chosen = written(pairs.where((F.col("many") > 0) | _reach(possible, percent)).select("a", "b", "na", "nb", "many"), "pairs")
 
-    needed = chosen.select(F.col("a").alias("set_id")).union(chosen.select("b")).distinct()
-    holders = cards.where("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key")).join(needed, "set_id")
-
-    def full(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch, "text"):
-            sets = Sets(part.column("text"), size)
-            grams = pa.ListArray.from_arrays(pa.array(sets.first, pa.int32()), pa.array(sets.gram.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column("set_id"), grams], ["set_id", "grams"])
-
-    texts = rows.select("key", "text").join(holders.hint("shuffle_hash"), "key").select("set_id", "text")
-    sets = written(map_rows(texts, "set_id long, grams array<long>", full).dropDuplicates(["set_id"]), "sets")
-
-    counted = written(_overlaps(chosen, sets), "overlaps")
-    links = counted.where(_reach(F.col("i"), percent)).select("a", "b")
-    labels = connected_components(links)
-
-    # Members of wide columns that are not linked with the column's first set.
-    own = labels.select(F.col("node"), "label")
-    star = counted.where("many > 0").select(F.col("a").alias("hub"), F.col("b").alias("x"), F.col("nb").alias("n"), "i")
-    star = star.join(own.select(F.col("node").alias("x"), F.col("label").alias("of_x")), "x", "left").join(own.select(F.col("node").alias("hub"), F.col("label").alias("of_hub")), "hub", "left")
-    star = written(star.select("hub", "x", "n", "i", F.coalesce("of_x", "x").alias("of_x"), F.coalesce("of_hub", "hub").alias("of_hub")), "star")
-    apart = star.where("of_x <> of_hub").select("hub", F.col("x").alias("y"), F.col("n").alias("m"), F.col("i").alias("k"), F.col("of_x").alias("of_y"))
-    bound = F.least("i", "k") + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("k"))
-    met = star.join(apart, "hub").where((F.col("of_x") != F.col("of_y")) & _reach(F.least(bound, "n", "m"), percent, "n", "m"))
-    swap = F.col("x") > F.col("y")
-    met = met.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(swap, F.col("m")).otherwise(F.col("n")).alias("na"), F.when(swap, F.col("n")).otherwise(F.col("m")).alias("nb")
-    )
-    late = written(_overlaps(met.distinct(), sets).where(_reach(F.col("i"), percent)).select("a", "b"), "late")
-    if not late.isEmpty():
-        labels = connected_components(links.union(late))
+    signs = written(made.where("set_id is not null").groupBy("set_id").agg(F.first("signs").alias("signs")), "signs")
+    sx, sy = (signs.select(F.col("set_id").alias(c), F.col("signs").alias(n)) for c, n in (("a", "sx"), ("b", "sy")))
+    likely = chosen.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).join(sx, "a").join(sy, "b").where(_can_reach(percent, "na", "nb"))
+    likely = written(likely.select("a", "b", "na", "nb"), "likely")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Those pairs whose full sets are similar."""
+        needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+        holders = cards.where("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key")).join(needed, "set_id")
+        sets = written(_full_sets(rows.select("key", "text"), size, holders.select("key")), "sets")
+        return _overlaps(pairs, sets).where(_reach(F.col("i"), percent))
+
+    links = written(verified(likely).select("a", "b"), "similar")
+    base = chosen.where("many > 0").select(F.col("a").alias("hub"), F.col("b").alias("x"), F.col("nb").alias("n"))
+    base = written(base.join(signs.select(F.col("set_id").alias("x"), F.col("signs").alias("sx")), "x"), "around")
+    labels = _join_around_hubs(base, links, verified, percent)
 
     member = cards.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("label", "set_id"))
     least = member.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
