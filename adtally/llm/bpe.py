@@ -11,7 +11,7 @@ import regex
 
 from adtally.llm.pretokens import Pieces, clip_normal, cut_long
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -22,7 +22,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(256 + other.index(b)) for b in range(256)]
 
 
-@lru_cache(maxsize=4)
 def read_vocabulary(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return json.load(f)

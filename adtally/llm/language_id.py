@@ -28,8 +28,8 @@ from adtally.llm.wordhash import slices
 LONGEST = 5
 BACKOFF = 0.4
 EVIDENCE = 20.0
-CACHE_WORDS = 300_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 150_000
+SLICE_BYTES = 2 << 20
 UNKNOWN = "und"
 
 

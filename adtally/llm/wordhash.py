@@ -14,8 +14,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
-SLICE_BYTES = 8 << 20
+CHUNK = 1 << 18
+SLICE_BYTES = 4 << 20
 U64 = np.uint64
 
 
@@ -72,6 +72,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         hi = min(max(hi, lo + 1), len(text))
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()  # workers serve many stages
 
 
 def _offset_type(text: pa.Array):
