@@ -280,10 +280,11 @@ def _met(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _join_around_hubs(base: DataFrame, links: DataFrame, verified, percent: int) -> DataFrame:
+def _join_around_hubs(base: DataFrame, signs: DataFrame, links: DataFrame, verified, percent: int) -> DataFrame:
     """Labels of all links, with those among sets of wide columns that are not linked with the column's first set.
 
-    ``base``: hub, x, n and the signature sx of every set x in a wide column of a hub.
+    ``base``: hub, x and n of every set x in a wide column of a hub; ``signs``: x and its signature sx,
+    which only the rows that meet others carry along.
     First such a set meets a few others of its star, some of them not linked with the hub either:
     most find their component there, and the work is linear. The rest meets all sets of other
     components in the star that sizes and signatures leave. ``verified`` keeps the similar pairs.
@@ -294,19 +295,19 @@ def _join_around_hubs(base: DataFrame, links: DataFrame, verified, percent: int)
         of = labels.withColumnRenamed("node", "x").withColumnRenamed("label", "of_x")
         of_hub = labels.withColumnRenamed("node", "hub").withColumnRenamed("label", "of_hub")
         star = base.join(of, "x", "left").join(of_hub, "hub", "left").withColumns({"of_x": F.coalesce("of_x", "x"), "of_hub": F.coalesce("of_hub", "hub")})
-        star = written(star.select("hub", "x", "n", "sx", "of_x", "of_hub"), "star")
+        star = written(star.select("hub", "x", "n", "of_x", "of_hub"), "star")
         apart = star.where("of_x <> of_hub").drop("of_hub")
         if apart.isEmpty():
             break
         if turn < DELEGATE_ROUNDS:
-            row = F.struct("x", "n", "sx", "of_x")
+            row = F.struct("x", "n", "of_x")
             seeds = range(turn * DELEGATES, (turn + 1) * DELEGATES)
             chosen = [F.min(F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r"))) for j in seeds]
             chosen += [F.min(F.when(F.col("of_x") != F.col("of_hub"), F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r")))) for j in seeds]
             picked = star.groupBy("hub").agg(F.array_compact(F.array(*chosen))["r"].alias("rows")).select("hub", F.explode(F.array_distinct("rows")).alias("r")).select("hub", "r.*")
         else:
             picked = star.drop("of_hub")
-        met = written(_met(apart, picked.withColumnsRenamed(other), percent), "met")
+        met = written(_met(apart.join(signs, "x"), picked.join(signs, "x").withColumnsRenamed(other), percent), "met")
         if met.isEmpty():
             continue
         late = written(verified(met).select("a", "b"), "late")
@@ -359,8 +360,7 @@ def similar_sets(
 
     links = written(verified(likely).select("a", "b"), "similar")
     base = chosen.where("many > 0").select(F.col("a").alias("hub"), F.col("b").alias("x"), F.col("nb").alias("n"))
-    base = written(base.join(signs.select(F.col("set_id").alias("x"), F.col("signs").alias("sx")), "x"), "around")
-    labels = _join_around_hubs(base, links, verified, percent)
+    labels = _join_around_hubs(base, signs.select(F.col("set_id").alias("x"), F.col("signs").alias("sx")), links, verified, percent)
 
     member = cards.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("label", "set_id"))
     least = member.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
