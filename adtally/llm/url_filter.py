@@ -13,6 +13,7 @@ handle one row per host and edge, and each is written to the shared folder.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -76,30 +77,39 @@ def host_edges(pages: DataFrame, html_column: str = "html") -> DataFrame:
     return links.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 30) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int | None = None) -> DataFrame:
     """Rank of each (kind, node) by personalised PageRank, for several kinds of graph at once.
 
     ``edges``: kind, src, dst, weight; ``seeds``: kind, node, amount. Each kind's ranks add up to 1
     where it has seeds; what reaches a node without edges returns to the seeds. Rounds end when no
-    rank moves by more than ``tolerance``, after ``rounds`` at the latest.
+    rank moves by more than ``tolerance`` times itself. A node that is reached for the first time
+    moves by all of its rank, so every node that a seed can reach gets one, however many seeds share
+    the 1. Moves shrink by ``damping`` a round and a rank once reached has a floor, so the rounds end
+    without a limit; ``rounds`` can set one.
     """
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     shares = written(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("out")).alias("share")), "shares")
     amounts = seeds.groupBy("kind").agg(F.sum("amount").alias("all"))
-    start = written(seeds.join(amounts, "kind").where("`all` > 0").select("kind", "node", (F.col("amount") / F.col("all")).alias("seed")), "seeds")
-    ranks = start.select("kind", "node", F.col("seed").alias("rank"))
-    for _ in range(rounds):
-        sent = shares.join(ranks, (shares["kind"] == ranks["kind"]) & (shares["src"] == ranks["node"])).select(shares["kind"], F.col("dst").alias("node"), (F.col("share") * F.col("rank") * damping).alias("got"))
-        got = sent.groupBy("kind", "node").agg(F.sum("got").alias("got"))
-        kept = got.groupBy("kind").agg(F.sum("got").alias("kept"))
-        back = start.join(kept, "kind", "left").select("kind", "node", (F.col("seed") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("got"))
-        fresh = got.union(back).groupBy("kind", "node").agg(F.sum("got").alias("rank"))
-        old = ranks.withColumnRenamed("rank", "old")
-        step = written(fresh.join(old, ["kind", "node"], "full").select("kind", "node", F.coalesce("rank", F.lit(0.0)).alias("rank"), F.coalesce("old", F.lit(0.0)).alias("old")), "ranks")
-        ranks = step.select("kind", "node", "rank")
-        if step.where(F.abs(F.col("rank") - F.col("old")) > tolerance).isEmpty():
+    start = seeds.join(amounts, "kind").where("`all` > 0").select("kind", "node", (F.col("amount") / F.col("all")).alias("seed"), F.lit(False).alias("sends"))
+    senders = shares.select("kind", F.col("src").alias("node"), F.lit(0.0).alias("seed"), F.lit(True).alias("sends"))
+    base = written(start.union(senders.distinct()).groupBy("kind", "node").agg(F.sum("seed").alias("seed"), F.max("sends").alias("sends")), "seeds")
+    ranks = base.where("seed > 0").select("kind", "node", F.col("seed").alias("rank"), F.lit(0.0).alias("old"), "sends")
+    moved = F.abs(F.col("rank") - F.col("old")) > tolerance * F.col("rank")
+    for _ in itertools.count() if rounds is None else range(rounds):
+        # One row per kind: what its edges carry on, and whether a rank still moves.
+        state = ranks.groupBy("kind").agg((F.sum(F.when(F.col("sends"), F.col("rank")).otherwise(0.0)) * damping).alias("kept"), F.max(moved).alias("moved")).collect()
+        if not any(r["moved"] for r in state):
             break
-    return ranks
+        back = F.lit(1.0)
+        for r in state:
+            back = F.when(F.col("kind") == r["kind"], 1.0 - r["kept"]).otherwise(back)
+        no, none = F.lit(False).alias("sends"), F.lit(0.0)
+        sent = shares.join(ranks, (shares["kind"] == ranks["kind"]) & (shares["src"] == ranks["node"])).select(shares["kind"], F.col("dst").alias("node"), (F.col("share") * F.col("rank") * damping).alias("got"), none.alias("old"), no)
+        fixed = base.select("kind", "node", (F.col("seed") * back).alias("got"), none.alias("old"), "sends")
+        now = ranks.select("kind", "node", none.alias("got"), F.col("rank").alias("old"), no)
+        fresh = sent.union(fixed).union(now).groupBy("kind", "node").agg(F.sum("got").alias("rank"), F.sum("old").alias("old"), F.max("sends").alias("sends"))
+        ranks = written(fresh.where("rank > 0 or old > 0"), "ranks")
+    return ranks.select("kind", "node", "rank")
 
 
 def judge(
@@ -121,8 +131,8 @@ def judge(
     forward = written(host_edges(read.select("host", "html"), "html"), "edges")
     edges = forward.select(F.lit("trust").alias("kind"), "src", "dst", "weight").union(forward.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("weight")))
     ranks = spread(edges, seeds, damping)
-    # Rounded, so that equal amounts that were added up in another order stay equal.
-    amount = lambda kind: F.round(F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)), 9).alias(kind)
+    # Rounded to nine digits of their own, so that equal amounts that were added up in another order stay equal and small ones stay above 0.
+    amount = lambda kind: F.format_string("%.8e", F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))).cast("double").alias(kind)
     hosts = written(ranks.groupBy(F.col("node").alias("host")).agg(amount("trust"), amount("distrust")), "hosts")
     out = judged.select("id", "host", "path", "rule", "given").join(hosts, "host", "left")
     spoiled = F.coalesce(F.col("distrust") > threshold * F.col("trust"), F.lit(False))

@@ -225,6 +225,19 @@ def test_ranks_match_power_iteration(spark):
     assert all(abs(got.get(str(i), 0.0) - r[i]) < 1e-6 for i in range(12))
 
 
+def test_distrust_reaches_far_hosts_behind_many_seeds(spark):
+    """Chains of several hops and a link among very many, behind 20,000 equal seeds of each kind, at the default parameters."""
+    link = '<a href="{}">'.format
+    seeds = spark.range(20_000).select("id", F.explode(F.array(F.lit("http://good%d.com/"), F.lit("http://bad%d.net/es/"))).alias("url"))
+    seeds = seeds.select(F.col("id").alias("page_id"), F.expr("format_string(url, id)").alias("url"), F.lit("").alias("html"))
+    rows = [(100_000 + i, f"http://hop{i}.org/", link(f"http://hop{i - 1}.org/" if i else "http://bad7.net/")) for i in range(6)]
+    rows += [(200_000, "http://crowd.org/", link("//bad8.net/") * 100_000), (200_001, "http://once.org/", link("//bad8.net/")), (200_002, "http://sub.hop3.org/", None), (200_003, "http://free.org/", None)]
+    pages = seeds.union(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    verdicts = {r.page_id: r.verdict for r in url_filter.judge(pages, URL_RULES).where("page_id >= 100000").collect()}
+    assert verdicts.pop(200_003) == "allow"
+    assert verdicts == dict.fromkeys(verdicts, "block") and len(verdicts) == 9
+
+
 def table(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted(names), sorted((tuple(r[i] for i in order) for r in rows), key=repr)
