@@ -5,7 +5,8 @@ counts the windows' terms, so that each window knows its rarest one. A second pa
 stores postings of these rarest terms only: document, position, and the words around
 it, which are the offset-adjusted postings of the window's other terms. A posting and
 a window meet on the term; they are an exact phrase match if every other term stands
-at its own offset, and a proximity match if all terms stand within ``slop`` words more.
+at its own offset, and a proximity match if some span of the window's length and ``slop``
+words more holds the posting and every term as often as the window does.
 Frequent terms are never looked up unless a window has no rarer one.
 
 The test side is broadcast only while its texts stay below ``BROADCAST_MB``; above it,
@@ -63,7 +64,8 @@ def find_leaks(
 
     A word is hit if it lies in an occurrence of a window: ``length`` consecutive words of an item,
     or all words of a shorter one. ``items``: ids of items with a window that occurs, as sorted
-    strings. ``n_near``: occurrences of rarest terms with all terms of their window close by.
+    strings. ``n_near``: occurrences of rarest terms in a span of at most ``slop`` words more than their
+    window that holds all its terms, repeated ones as often as the window.
     Defined cases: null and empty texts have no words on either side; items without an id can hit
     words but are not listed; repeated rows and null ids stay one row each; very long texts are
     read whole; without documents or items there are no rows or no hits; other columns are not read.
@@ -95,8 +97,17 @@ def find_leaks(
     met = listed.join(sized(anchors), "term").select("id", "key", "pos", "offset", "seq", "items", "begin", "around")
     met = met.withColumn("start", F.col("pos") - F.col("offset"))
     exact = (F.col("start") >= 0) & (F.slice("around", F.greatest(F.col("start") - F.col("begin") + 1, F.lit(1)), F.size("seq")) == F.col("seq"))
-    near = F.size(F.array_except("seq", "around")) == 0
-    met = met.withColumn("exact", exact).where(F.col("exact") | near)
+    wide = F.size("seq") + slop
+    first = F.greatest(F.col("pos") - wide + 1, F.col("begin"))
+
+    def holds_all(start: Column) -> Column:
+        span = F.slice("around", start - F.col("begin") + 1, wide)
+        often = lambda words, term: F.size(F.filter(words, lambda w: w == term))
+        return F.forall(F.array_distinct("seq"), lambda term: often(span, term) >= often(F.col("seq"), term))
+
+    # Spans are only tried where no term is missing altogether.
+    near = F.when(F.size(F.array_except("seq", "around")) > 0, False).otherwise(F.exists(F.sequence(first, F.col("pos")), holds_all))
+    met = met.withColumn("exact", exact).where(F.when(F.col("exact"), True).otherwise(near))
     hit = F.when(F.col("exact"), F.struct("start", F.size("seq").alias("size")))
     found = met.groupBy("id", "key").agg(F.collect_set(hit).alias("hits"), F.collect_set(F.when(F.col("exact"), F.col("items"))).alias("lists"), F.count_distinct("pos").alias("near"))
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))

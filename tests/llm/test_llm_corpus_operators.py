@@ -147,6 +147,41 @@ def test_leaks_match_a_scan_of_all_windows(spark, monkeypatch, listed):
     assert decontamination.find_leaks(docs.where("false"), tests).count() == 0
 
 
+def near_counts(docs, items, length=10, slop=10):
+    """Places of a window's rarest term in a span of ``slop`` words more than the window that holds all its words."""
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    texts = [(d, split(t)) for d, t in docs]
+    n = collections.Counter(w for _, words in texts for w in words)
+    windows = {tuple(w[j : j + length]) for w in (split(t) for _, t in items) for j in range(max(len(w) - length + 1, 1)) if w}
+    near = []
+    for d, words in texts:
+        at = set()
+        for window in windows:
+            rarest, need, wide = min(window, key=lambda t: (n[t], t)), collections.Counter(window), len(window) + slop
+            for j in range(len(words)):
+                span = words[j : j + wide]
+                if need <= collections.Counter(span):
+                    at |= {j + i for i, w in enumerate(span) if w == rarest}
+        near.append((d, len(at)))
+    return sorted(near, key=repr)
+
+
+@pytest.mark.parametrize("listed", [0, 20_000])
+def test_near_hits_match_a_scan_of_all_spans(spark, monkeypatch, listed):
+    monkeypatch.setattr(decontamination, "LISTED_TERMS", listed)
+    window = "rare b c d e f g h i j".split()
+    spaced = lambda before, after: " ".join(["b c d e"] + ["z"] * before + ["rare"] + ["z"] * after + ["f g h i j"])
+    rows = [(i, spaced(a, b)) for i, (a, b) in enumerate([(0, 0), (5, 5), (6, 5), (10, 0), (14, 14), (0, 10), (0, 11)])]
+    rows += [(20, " ".join(window)), (21, "two two k l m n o p q uniq"), (22, "two k l m n o p q uniq"), (23, "uniq " + "z " * 9 + "two k l m n two o p q"), (None, None), (24, "")]
+    rows += [(30 + i, t) for i, (_, t) in enumerate(noisy_copies(7)[:40])]
+    items = [(1, " ".join(window)), (2, "k l m n o p q two two uniq"), (3, rows[-1][1][:150]), (4, "q p o"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).select("doc_id", "n_near").collect()
+    want = near_counts(rows, items)
+    assert sorted((tuple(r) for r in got), key=repr) == want
+    assert [dict(want)[i] for i in (0, 1, 2, 4, 20, 21, 22)] == [1, 1, 0, 0, 1, 2, 1]
+
+
 def nearest(rows, step, k=5):
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = set()
