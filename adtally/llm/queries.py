@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import chat, decontamination, language_id, mtree_search, ngram_jaccard, packing, secrets, substring_dedup, token_counts, url_filter
-from adtally.llm.store import table
+from adtally.llm import chat, decontamination, language_id, mtree_search, ngram_jaccard, packing, prefix_trie, secrets, substring_dedup, suffix_dedup, token_alignment, token_counts, url_filter
+from adtally.llm.store import table, written
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 SEQUENCE_TOKENS = 2048
 REPEAT_WORDS = 35
+REPEAT_BYTES = 100
+LENT_TURNS, FAMILY = 8, 5
 LEAK_WORDS = 10
 URL_RULES = [
     url_filter.Rule.parse(verdict, text)
@@ -90,10 +93,37 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), SEQUENCE_TOKENS)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns of rebuilt conversations, and all conversations: the first turns come from the family's first one."""
+    numbered = written(prefix_trie.number_turns(turns), "numbered")
+    said = ["t1", "t2", "t3", "n_bytes"]
+    lent = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (LENT_TURNS + 1)
+    convs = numbered.groupBy("conv_id").agg(F.max("position").alias("n")).withColumns({"lent": lent, "base": F.col("conv_id") - F.col("conv_id") % FAMILY})
+    lengths = convs.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
+    convs = written(convs.join(lengths, "base", "left").withColumn("head", F.least("lent", F.coalesce("base_n", F.lit(0)))), "families")
+    heads = numbered.where(F.col("position") <= LENT_TURNS).withColumnRenamed("conv_id", "base")
+    first = convs.select("conv_id", "base", "head").join(heads, "base").where("position <= head").select("conv_id", "position", *said)
+    own = numbered.join(convs.select("conv_id", "lent", "head"), "conv_id").where("position > lent")
+    return first.union(own.select("conv_id", (F.col("position") - F.col("lent") + F.col("head")).alias("position"), *said)), convs.select("conv_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_url_filter, op3_secret_scan, op4_token_counts, op5_exact_top_k, op6_chat_format, op7_substring_dedup,
-        op8_decontamination, op9_ngram_jaccard, op10_best_fit_packing,
+        op8_decontamination, op9_ngram_jaccard, op10_best_fit_packing, op11_token_alignment, op12_suffix_dedup, op13_prefix_trie,
     )
 }
