@@ -126,8 +126,8 @@ class RankMerger:
 class Encoder:
     """Runs pieces of texts through ``encode_new`` once each and remembers a bounded number of them."""
 
-    def __init__(self, vocabulary: dict, pattern: str, normal: Callable[[str], str] | None = None):
-        self.special = {t["content"]: t["id"] for t in vocabulary["added_tokens"]}
+    def __init__(self, vocabulary: dict, pattern: str, normal: Callable[[str], str] | None = None, special: bool = True):
+        self.special = {t["content"]: t["id"] for t in vocabulary["added_tokens"]} if special else {}
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.hint = "<|" if all(s.startswith("<|") for s in self.special) else ""
         self.pattern, self.normal = pattern, normal
@@ -194,10 +194,11 @@ def rank_counter(path: str) -> Callable[[list[str]], np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def id_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+def id_encoder(path: str, special: bool = True) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """All ids of texts, one after the other, and where each text's ids start; for a byte-level vocabulary.
 
-    Unknown pieces are merged by the installed rank encoder over the file's own vocabulary.
+    Unknown pieces are merged by the installed rank encoder over the file's own vocabulary. Without
+    ``special``, strings of special tokens are plain text.
     """
     import tiktoken
 
@@ -205,7 +206,7 @@ def id_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]
     value = {c: b for b, c in enumerate(byte_letters())}
     ranks = {bytes(value[c] for c in word): i for word, i in vocabulary["model"]["vocab"].items()}
     single = tiktoken.Encoding("bytes", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-    encoder = Encoder(vocabulary, "gpt")
+    encoder = Encoder(vocabulary, "gpt", special=special)
 
     def new(pieces: list[bytes]) -> list[tuple[int, ...]]:
         return [tuple(single(p)) for p in pieces]

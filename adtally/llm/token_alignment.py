@@ -19,6 +19,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.bpe import byte_letters
+from adtally.llm.bpe import byte_letters, id_encoder, read_vocabulary
 from adtally.llm.store import written
 from adtally.llm.wordhash import slices
 
@@ -54,54 +55,47 @@ class Pieces:
 @lru_cache(maxsize=2)
 def _tokenizers(path_a: str, path_b: str):
     """Both encoders, the bytes of their tokens, and the decimal digits of ids."""
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    a = Tokenizer.from_file(path_a)
-    a.encode_special_tokens = True
-    a.no_truncation()
-    a.no_padding()
+    ids_a = read_vocabulary(path_a)["model"]["vocab"]
     b = sentencepiece.SentencePieceProcessor(model_file=path_b)
     value = {c: i for i, c in enumerate(byte_letters())}
-    bytes_a = [b""] * (max(a.get_vocab().values()) + 1)
-    for token, i in a.get_vocab().items():
+    bytes_a = [b""] * (max(ids_a.values()) + 1)
+    for token, i in ids_a.items():
         bytes_a[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
     byte_piece = re.compile(r"<0x([0-9A-F]{2})>")
     names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
     bytes_b = [bytes([int(m[1], 16)]) if (m := byte_piece.fullmatch(n)) else n.replace("▁", " ").encode() for n in names]
     digits = Pieces([str(i).encode() + b"," for i in range(max(len(bytes_a), len(bytes_b)))])
-    return a, b, Pieces(bytes_a), Pieces(bytes_b), digits
+    return id_encoder(path_a, special=False), b, Pieces(bytes_a), Pieces(bytes_b), digits
 
 
-def _encoded(texts: list[str], encoders) -> tuple[list[list[int]], list[list[int]]]:
-    """Ids of the texts under A and B, in portions that bound what the libraries hold."""
+def _encoded(texts: list[str], encoders) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Ids of the texts under A and B, one after the other, and where each text's ids start."""
     a, b = encoders[:2]
-    out_a, out_b, at = [], [], 0
-    while at < len(texts):
+    ids, first = a([" " + t for t in texts])
+    flat, count, at = [], [], 0
+    while at < len(texts):  # portions bound what the library holds
         to, size = at, 0
         while to < len(texts) and (to == at or size < BATCH_BYTES):
             size += len(texts[to])
             to += 1
-        out_a += [e.ids for e in a.encode_batch_fast([" " + t for t in texts[at:to]], add_special_tokens=False)]
-        out_b += b.encode(texts[at:to], num_threads=1)
+        found = b.encode(texts[at:to], num_threads=1)
+        count += map(len, found)
+        flat.append(np.fromiter(chain.from_iterable(found), np.int64))
         at = to
-    return out_a, out_b
+    none = np.zeros(0, np.int64)
+    return (ids.astype(np.int64), first), (np.concatenate([none, *flat]), np.concatenate([[0], np.cumsum(count, dtype=np.int64)]))
 
 
-def _whole(ids: list[list[int]], pieces: Pieces, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _whole(ids: np.ndarray, first: np.ndarray, pieces: Pieces, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether each document's tokens spell its ``size`` bytes of ``raw``."""
-    count = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for i in ids for x in i), np.int64, int(count.sum()))
-    spelled = np.concatenate([[0], np.cumsum(pieces.size[flat])])
-    first = np.concatenate([[0], np.cumsum(count)])
-    same = np.diff(spelled[first]) == size
-    joined = pieces.joined(flat)
+    at = np.concatenate([[0], np.cumsum(pieces.size[ids])])[first]
+    same = np.diff(at) == size
+    joined = pieces.joined(ids)
     if same.all() and np.array_equal(joined, raw):
         return same
-    at, to = spelled[first], np.concatenate([[0], np.cumsum(size)])
+    to = np.concatenate([[0], np.cumsum(size)])
     for i in np.flatnonzero(same).tolist():
         same[i] = np.array_equal(joined[at[i] : at[i + 1]], raw[to[i] : to[i + 1]])
     return same
@@ -123,15 +117,15 @@ class Aligned:
         self.n = len(texts)
         some = [i for i, t in enumerate(texts) if t]
         chosen = [texts[i] for i in some]
-        ids_a, ids_b = _encoded(chosen, encoders)
+        (ids_a, first_a), (ids_b, first_b) = _encoded(chosen, encoders)
         spelled = [b" " + t.encode() for t in chosen]
         size = np.fromiter(map(len, spelled), np.int64, len(spelled))
         raw = np.frombuffer(b"".join(spelled), np.uint8)
-        whole = _whole(ids_a, pieces_a, raw, size) & _whole(ids_b, pieces_b, raw, size)
-        kept = np.flatnonzero(whole).tolist()
+        whole = _whole(ids_a, first_a, pieces_a, raw, size) & _whole(ids_b, first_b, pieces_b, raw, size)
+        kept = np.flatnonzero(whole)
         self.doc = np.array(some, np.int64)[kept]  # place among all texts
-        self.count_a, self.count_b = (np.fromiter((len(ids[i]) for i in kept), np.int64, len(kept)) for ids in (ids_a, ids_b))
-        self.a, self.b = (np.fromiter((x for i in kept for x in ids[i]), np.int64, int(n.sum())) for ids, n in ((ids_a, self.count_a), (ids_b, self.count_b)))
+        self.a, self.b = (ids[np.repeat(whole, np.diff(first))] for ids, first in ((ids_a, first_a), (ids_b, first_b)))
+        self.count_a, self.count_b = (np.diff(first)[kept] for first in (first_a, first_b))
         self.first_a, self.first_b = (np.concatenate([[0], np.cumsum(n)]) for n in (self.count_a, self.count_b))
         self.end_a, self.end_b = np.cumsum(pieces_a.size[self.a]), np.cumsum(pieces_b.size[self.b])
         self.bytes = int(self.end_a[-1]) if len(self.end_a) else 0
