@@ -6,8 +6,9 @@ size counts rarely come first. A set of size n needs only its first
 ``n - ceil(t * n) + 1`` columns, because two sets of similarity t share one of these.
 One task multiplies one block of columns: it adds up how many columns each pair of
 sets shares. Summed over blocks, a pair stays only if these columns and the rest of
-the smaller side can still reach the similarity. What stays is counted exactly over
-the full sets.
+the smaller side can still reach the similarity. What stays is multiplied out exactly, again
+by blocks (``_overlaps``): pairs around one hub share a cell, each set enters a cell once, cut into
+blocks of columns, and the overlaps of a pair are added up over the blocks.
 
 A column that many sets share would give all pairs among them. Columns of more than
 ``block`` sets instead compare every set with one of them, the column's first set.
@@ -38,6 +39,9 @@ SKETCH_BITS, SKETCH_SLICES, FAN_IN = 20, 16, 64
 FILTER_BITS, FILTER_SLICES = 24, 64
 PARITY = 1024
 DELEGATES, DELEGATE_ROUNDS = 4, 2
+#: Blocks of columns and pairs of a cell in the exact product; entries compared at a time.
+COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 21
+COLUMN_BLOCKS = 1 << COLUMN_BITS
 PERCENT = 80
 U64 = np.uint64
 
@@ -231,7 +235,7 @@ def _key_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _full_sets(rows: DataFrame, size: int, keys: DataFrame) -> DataFrame:
-    """Whole sets of the rows with one of ``keys`` (and of a few others).
+    """Whole sets of the rows with one of ``keys`` (and of a few others), a row for each block of columns.
 
     The keys reach the tasks as a filter of fixed size, so that no text is shuffled. What passes
     beside them is not joined with anything later on.
@@ -243,21 +247,77 @@ def _full_sets(rows: DataFrame, size: int, keys: DataFrame) -> DataFrame:
         wanted = (shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
         for part in slices(batch.filter(pa.array(wanted.astype(bool))), "text"):
             sets = Sets(part.column("text"), size)
-            grams = pa.ListArray.from_arrays(pa.array(sets.first, pa.int32()), pa.array(sets.gram.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(sets.print), grams], ["set_id", "grams"])
+            # n-grams of a set are in order: a block is a stretch of them
+            stretch = sets.owner * COLUMN_BLOCKS + (sets.gram >> U64(64 - COLUMN_BITS)).astype(np.int64)
+            start = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1]])) if len(stretch) else np.zeros(0, np.int64)
+            stop = np.append(start[1:], len(stretch))
+            data = sets.gram.tobytes()
+            grams = pa.array([data[8 * x : 8 * y] for x, y in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(sets.print[sets.owner[start]]), pa.array((stretch[start] % COLUMN_BLOCKS).astype(np.int32)), grams], ["set_id", "columns", "grams"])
 
     picked = rows.select(_slot(F.col("key")).alias("slot"), "text")
-    return map_rows(picked, "set_id long, grams array<long>", step)
+    return map_rows(picked, "set_id long, columns int, grams binary", step)
+
+
+def _cells(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with a cell of about ``CELL_PAIRS`` pairs each.
+
+    The pairs of one neighbourhood (hubs whose smallest neighbour is the same set) go together, so
+    that a set enters few cells; one with many pairs is split by its members.
+    """
+    cells = pairs.count() // CELL_PAIRS + 1
+    both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    near = both.groupBy("node").agg(F.min("other").alias("other")).select(F.col("node").alias("a"), F.least("node", "other").alias("near"))
+    placed = pairs.join(near.hint("shuffle_hash"), "a")
+    large = placed.groupBy("near").agg(F.count("*").alias("n")).where(F.col("n") > CELL_PAIRS).select("near", F.floor(F.col("n") / CELL_PAIRS + 1).alias("split"))
+    share = F.pmod(F.xxhash64("b", F.lit(7)), F.coalesce("split", F.lit(1)))
+    return placed.join(large, "near", "left").select(*pairs.columns, F.pmod(F.xxhash64("near", share), F.lit(cells)).alias("cell"))
+
+
+def _overlaps_in_cell(sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """How many n-grams of one block of columns the pairs of a cell share."""
+    grams = [np.frombuffer(g, U64) for g in sets["grams"]]
+    length = np.fromiter(map(len, grams), np.int64, len(grams))
+    gram = np.concatenate([np.zeros(0, U64), *grams])
+    known, owner = np.unique(sets["set_id"].to_numpy(np.int64), return_inverse=True)
+    distinct, code = np.unique(gram, return_inverse=True)
+    width = max(len(distinct), 1)
+    entry = np.unique(np.repeat(owner, length) * width + code)  # a set may have been written twice
+    first = np.searchsorted(entry, np.arange(len(known) + 1) * width)
+    ends = []
+    for c in ("a", "b"):
+        at = np.minimum(np.searchsorted(known, pairs[c].to_numpy(np.int64)), max(len(known) - 1, 0))
+        there = known[at] == pairs[c].to_numpy(np.int64) if len(known) else np.zeros(len(pairs), bool)
+        ends.append((at, np.where(there, first[np.minimum(at + 1, len(first) - 1)] - first[at], 0)))
+    (a, n), (b, m) = ends
+    n = np.where(m > 0, n, 0)
+    shared = np.zeros(len(pairs), np.int64)
+    total = np.concatenate([[0], np.cumsum(n)])
+    lo = 0
+    while lo < len(pairs):  # a bounded number of entries at a time
+        hi = max(int(np.searchsorted(total, total[lo] + CELL_ENTRIES, side="right")) - 1, lo + 1)
+        k = n[lo:hi]
+        pair = np.repeat(np.arange(lo, hi), k)
+        place = first[a[pair]] + np.arange(len(pair)) - np.repeat(np.cumsum(k) - k, k)
+        sought = b[pair] * width + entry[place] % width
+        found = np.minimum(np.searchsorted(entry, sought), max(len(entry) - 1, 0))
+        shared += np.bincount(pair[entry[found] == sought] if len(pair) else pair, minlength=len(pairs))
+        lo = hi
+    return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "na": pairs["na"], "nb": pairs["nb"], "i": shared})
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` with ``i``, the number of n-grams that both full sets hold."""
-    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    held = sets.select("set_id", "grams").join(ids, "set_id", "left_semi")
-    left = held.select(F.col("set_id").alias("a"), F.col("grams").alias("left"))
-    right = held.select(F.col("set_id").alias("b"), F.col("grams").alias("right"))
-    found = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("left", "right"))).drop("left", "right")
-    return found.dropDuplicates(["a", "b"])  # a set may have been written twice
+    """``pairs`` with ``i``, the number of n-grams that both full sets hold, added up over blocks of columns.
+
+    Hints keep the plan the same at every size: sets are dealt to their cells by shuffles, each
+    n-gram once for each cell its set enters.
+    """
+    asked = written(_cells(pairs), "asked")
+    enter = asked.select(F.col("a").alias("set_id"), "cell").union(asked.select("b", "cell")).distinct()
+    held = sets.join(enter.hint("shuffle_hash"), "set_id").select("cell", "columns", "set_id", "grams")
+    by_block = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(COLUMN_BLOCKS - 1)))).withColumnRenamed("cell", "of")
+    counts = held.groupBy("cell", "columns").cogroup(by_block.groupBy("of", "block")).applyInPandas(_overlaps_in_cell, "a long, b long, na long, nb long, i long")
+    return counts.groupBy("a", "b", "na", "nb").agg(F.sum("i").alias("i"))
 
 
 def _can_reach(percent: int, n: str, m: str) -> Column:
