@@ -184,11 +184,11 @@ def test_near_hits_match_a_scan_of_all_spans(spark, monkeypatch, listed):
 
 def nearest(rows, step, k=5):
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    out = set()
-    for i, v in ok:
-        if i % step == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in set((j, tuple(w)) for j, w in ok) if j != i and len(w) == len(v))
-            out |= {(i, n, j, -s) for n, (s, j) in enumerate(scored[:k], 1)}
+    out = []
+    for i in sorted({i for i, _ in ok if i % step == 0}):
+        mine = [v for j, v in ok if j == i]
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for v in mine for j, w in ok if j != i and len(w) == len(v))
+        out += [(i, n, j, -s) for n, (s, j) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -197,11 +197,13 @@ def test_top_k_matches_all_products(spark):
     rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(3)]) for i in range(300)] + [(i, [0.25, 0.5, -0.5]) for i in range(300, 500)]
     rows += [(600, None), (610, [None, 1.0, 2.0]), (620, [float("nan"), 1.0, 1.0]), (630, [float("inf"), 0.0, 0.0]), (640, [1.0, 2.0]), (None, [1.0, 1.0, 1.0]), (650, [3.0, 4.0]), (660, [])]
     rows += [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(700, 900)] + [(700, rows[0][1])]
+    rows += [(i, [rng.choice([9e6, -9e6, 0.5, 3e5]), rng.gauss(0, 1)]) for i in range(900, 960)]  # products beyond 2**53
+    rows += [rows[350], rows[350], rows[300], rows[300], (720, rows[530][1])]  # repeated rows and ids
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1))
     rounded = [tuple(r) for r in df.select("vec_id", "embedding").collect()]
     got = sorted(tuple(r) for r in mtree_search.top_k(df, F.col("vec_id") % 10 == 0, tree_rows=40, query_rows=7).collect())
     want = nearest(rounded, 10)
-    assert [r for r in got if r[0] != 700] == [r for r in want if r[0] != 700]
+    assert got == want
     assert mtree_search.top_k(df.where("false"), F.col("vec_id") % 10 == 0).count() == 0
 
 
@@ -214,7 +216,7 @@ def test_trees_skip_what_their_bounds_rule_out():
     v = np.floor(centers[rng.integers(0, 20, 3000)] + rng.normal(0, 1, (3000, 6)))
     norm = (v * v).sum(axis=1)
     pages = mtree_search.build_pages(v, np.arange(3000), np.sqrt(norm.max() - norm))
-    tree = mtree_search.Tree(pd.DataFrame(pages), math.sqrt(norm.max()))
+    tree = mtree_search.Tree(pd.DataFrame(pages).assign(largest=math.sqrt(norm.max())))
     for q in range(0, 3000, 300):
         s = v @ v[q]
         s[q] = -math.inf
