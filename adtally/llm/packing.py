@@ -7,9 +7,9 @@
    lengths share a sequence) by multiplicative weights: each length has a price that
    falls as it gets covered, a knapsack dynamic program finds the dearest
    configuration, and it is taken for half of what its scarcest length still needs.
-   Of configurations that fill a sequence, amounts are rounded down, whole or in part
-   (``SHARES``, whichever ends with the fewest sequences); the pieces left over are
-   placed by best fit, largest length first, again by histogram.
+   Of configurations that fill a sequence, amounts are rounded down, whole, in part or not at
+   all (``SHARES``, whichever ends with the fewest sequences, so never with more than best
+   fit alone); the pieces left over are placed by best fit, largest length first, again by histogram.
 3. Every piece gets a number among those of its length (a count per task and length,
    no window over pieces), and the plan's runs turn that number into a sequence and
    an offset. The runs are bounded by the capacity, not by the data.
@@ -36,7 +36,7 @@ SLICE_BYTES = 4 << 20
 PIECES = "piece int, start long, length long, ids_crc32 long, block int, nth long"
 PRICE_FALL = 4.0
 #: How much of the fractional amounts is tried when they are rounded.
-SHARES = (1.0, 0.9, 0.75, 0.5)
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.0)
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -108,6 +108,16 @@ def test_plans_cover_the_histogram():
     assert taken == histogram
 
 
+@pytest.mark.parametrize("low, high", [(1, 512), (175, 512), (125, 275), (85, 87)])
+def test_plans_are_never_worse_than_best_fit(low, high):
+    import numpy as np
+
+    lengths, counts = np.unique(np.random.default_rng(5).integers(low, high + 1, 4000), return_counts=True)
+    plan = packing.plan_sequences(dict(zip(lengths.tolist(), counts.tolist(), strict=True)), 512)
+    assert plan.sequences <= sum(times for _, times in packing._best_fit(lengths, counts.copy(), 512))
+    assert sum((h - lo) * n for n, lo, h, *_ in plan.runs) == int((lengths * counts).sum())
+
+
 def test_language_is_learned_and_odd_texts_have_none(spark, odd, empty):
     words = {"en": "the and of with that", "fr": "les des une avec est", "de": "der die und ist nicht"}
     train = spark.createDataFrame([(i, " ".join([w[i % 5], *w]), lang) for lang, t in words.items() for w in [t.split()] for i in range(10)], "doc_id long, text string, lang string")
