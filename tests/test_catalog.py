@@ -3,6 +3,8 @@
 import datetime as dt
 import decimal
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -55,3 +57,9 @@ def test_every_statement_belongs_to_a_query():
 def test_entry_schema(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "segment_id" and df.count() > 0
+
+
+@pytest.mark.parametrize("gone", ["public_tokenizers", "regex", "adtally.llm", "corpus_pipeline"])
+def test_other_queries_stay_when_a_package_of_the_training_data_operators_is_missing(gone):
+    code = f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as e; from adtally.plans.catalog import QUERIES; assert e.queries() == QUERIES and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, check=True)
