@@ -49,7 +49,10 @@ class Pieces:
         size = self.size[which]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.start[which] - (ends - size), size) + np.arange(total)]
+        kind = np.int32 if total < 1 << 30 else np.int64
+        index = np.repeat((self.start[which] - (ends - size)).astype(kind), size)
+        index += np.arange(total, dtype=kind)
+        return self.flat[index]
 
 
 @lru_cache(maxsize=2)
@@ -66,6 +69,8 @@ def _tokenizers(path_a: str, path_b: str):
     byte_piece = re.compile(r"<0x([0-9A-F]{2})>")
     names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
     bytes_b = [bytes([int(m[1], 16)]) if (m := byte_piece.fullmatch(n)) else n.replace("▁", " ").encode() for n in names]
+    if max(len(bytes_a), len(bytes_b)) > 1 << 16:
+        raise ValueError("vocabularies of more than 65,536 ids do not fit")
     digits = Pieces([str(i).encode() + b"," for i in range(max(len(bytes_a), len(bytes_b)))])
     return id_encoder(path_a, special=False), b, Pieces(bytes_a), Pieces(bytes_b), digits
 
@@ -121,7 +126,9 @@ class Aligned:
         spelled = [b" " + t.encode() for t in chosen]
         size = np.fromiter(map(len, spelled), np.int64, len(spelled))
         raw = np.frombuffer(b"".join(spelled), np.uint8)
-        whole = _whole(ids_a, first_a, pieces_a, raw, size) & _whole(ids_b, first_b, pieces_b, raw, size)
+        # Byte-level merging keeps the bytes it starts from: of A the sizes tell.
+        size_a = np.diff(np.concatenate([[0], np.cumsum(pieces_a.size[ids_a])])[first_a])
+        whole = (size_a == size) & _whole(ids_b, first_b, pieces_b, raw, size)
         kept = np.flatnonzero(whole)
         self.doc = np.array(some, np.int64)[kept]  # place among all texts
         self.a, self.b = (ids[np.repeat(whole, np.diff(first))] for ids, first in ((ids_a, first_a), (ids_b, first_b)))
@@ -191,10 +198,11 @@ def align_slices(docs: DataFrame, vocabulary_a: str, model_b: str, id_column: st
             for part in slices(batch, "text", SLICE_BYTES):
                 made = Aligned([t or "" for t in part.column("text").to_pylist()], encoders)
                 pair, doc = made.links()
-                distinct, code = np.unique(pair, return_inverse=True)
-                entry, times = np.unique(doc * max(len(distinct), 1) + code, return_counts=True)
-                entry_pair = entry % max(len(distinct), 1)
-                entries = np.bincount(entry // max(len(distinct), 1), minlength=len(made.doc))
+                # Ids of A and B take 16 bits each, so that plain numbers sort for documents and pairs at once.
+                entry, times = np.unique((doc << 32) | (pair >> 32 << 16) | (pair & LOW), return_counts=True)
+                distinct, entry_pair = np.unique(entry & LOW, return_inverse=True)
+                distinct = (distinct >> 16 << 32) | (distinct & 0xFFFF)
+                entries = np.bincount(entry >> 32, minlength=len(made.doc))
                 held = np.bincount(entry_pair, minlength=len(distinct))
                 texts, sha = [""] * made.n, [""] * made.n
                 for i, text in zip(made.doc.tolist(), made.group_texts(), strict=True):
