@@ -19,6 +19,7 @@ different components is lost, and no group is paired out.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,8 @@ from adtally.llm.wordhash import Words, mix, pack64, slices, text_bytes, unpack,
 BLOCK = 16
 SKETCH_BITS, SKETCH_SLICES, FAN_IN = 20, 16, 64
 FILTER_BITS, FILTER_SLICES = 24, 64
-PARITY = 1024
+#: Bits of signatures made at a time.
+SIGN_BITS = 1 << 20
 DELEGATES, DELEGATE_ROUNDS = 4, 2
 #: Blocks of columns and pairs of a cell in the exact product; entries compared at a time.
 COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 21
@@ -73,14 +75,30 @@ class Sets:
         #: Fingerprint of each set, the same for equal sets; rows without n-grams have none.
         self.print = mix((total[self.first[1:]] - total[self.first[:-1]]) + self.count.astype(U64)).view(np.int64)
 
-
     def signs(self) -> pa.Array:
-        """Parity signature of each set: bit j says whether an odd number of its n-grams fall on j."""
-        parity = np.zeros((len(self.count), PARITY), np.uint8)
-        for i, (lo, hi) in enumerate(zip(self.first[:-1], self.first[1:], strict=True)):
-            parity[i] = np.bincount((self.gram[lo:hi] & U64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
-        width = PARITY // 64
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(self.count) + 1) * width, pa.int32()), pa.array(np.packbits(parity, axis=1).view(np.int64).ravel()))
+        """Parity signature of each set: bit j says whether an odd number of its n-grams fall on j.
+
+        A signature has two to four bits for each n-gram, so it tells large sets apart as well as small ones.
+        """
+        width = sign_bits(self.count)
+        start = np.concatenate([[0], np.cumsum(width)])
+        words = np.zeros(start[-1] // 64, np.int64)
+        lo = 0
+        while lo < len(width):  # a bounded number of bits at a time, or one set
+            hi = max(int(np.searchsorted(start, start[lo] + SIGN_BITS, side="right")) - 1, lo + 1)
+            own = slice(self.first[lo], self.first[hi])
+            row = self.owner[own]
+            bit = start[row] - start[lo] + (self.gram[own] & (width[row] - 1).astype(U64)).astype(np.int64)
+            odd = (np.bincount(bit, minlength=start[hi] - start[lo]) & 1).astype(np.uint8)
+            words[start[lo] // 64 : start[hi] // 64] = np.packbits(odd).view(np.int64)
+            lo = hi
+        return pa.ListArray.from_arrays(pa.array(start // 64, pa.int32()), pa.array(words))
+
+
+def sign_bits(count: np.ndarray) -> np.ndarray:
+    """Width of the signature of sets of these sizes: a power of two, 64 at least; none for the empty set."""
+    exponent = np.frexp(np.maximum(2 * count - 1, 1).astype(np.float64))[1]
+    return np.where(count > 0, np.left_shift(np.int64(1), np.maximum(exponent, 6).astype(np.int64)), 0)
 
 
 def prefix_sizes(count: np.ndarray, percent: int) -> np.ndarray:
@@ -320,13 +338,26 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counts.groupBy("a", "b", "na", "nb").agg(F.sum("i").alias("i"))
 
 
+def _folded(signs: Column, words: Column, halvings: int) -> Column:
+    """``signs`` brought to ``words`` words: a signature of half the width is its halves' exclusive or."""
+    for k in reversed(range(halvings)):
+        half = F.shiftleft(words, k)
+        halves = F.zip_with(F.slice(signs, F.lit(1), half), F.slice(signs, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        signs = F.when(F.size(signs) > half, halves).otherwise(signs)
+    return signs
+
+
 def _can_reach(percent: int, n: str, m: str) -> Column:
     """Whether the signatures ``sx`` and ``sy`` leave sets of these sizes similar.
 
     Two sets differ in at least as many n-grams as their signatures differ in bits, and similar
-    ones in at most (100 - percent) / (100 + percent) of their sizes' sum.
+    ones in at most (100 - percent) / (100 + percent) of their sizes' sum. The wider signature is
+    folded to the narrower one; sizes that can be similar need so many halvings at most.
     """
-    differ = F.aggregate(F.zip_with("sx", "sy", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    halvings = math.ceil(math.log2(100 / percent))
+    words = F.least(F.size("sx"), F.size("sy"))
+    x, y = (_folded(F.col(c), words, halvings) for c in ("sx", "sy"))
+    differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
     return (100 + percent) * differ <= (100 - percent) * (F.col(n) + F.col(m))
 
 

@@ -7,6 +7,7 @@ import re
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,27 @@ def test_jaccard_components_match_all_pairs(spark, block):
         assert kept.columns == df.columns and kept.count() == groups + blank
 
 
+def test_signatures_never_differ_more_than_the_sets(spark):
+    """Sets of 1 to 3,000 n-grams: folded signatures bound the difference from below, and tell unlike large sets apart."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    texts = ["", "a", *(" ".join(base[:n]) for n in (6, 36, 37, 500, 517, 640, 2052, 2053, 2560, 3000))]
+    texts += [" ".join(f"v{rng.randrange(10**6)}" for _ in range(n)) for n in (40, 600, 2500)]
+    sets = ngram_jaccard.Sets(pa.array(texts), 5)
+    signs = sets.signs().to_pylist()
+    assert [64 * len(x) for x in signs] == ngram_jaccard.sign_bits(sets.count).tolist()
+    assert all(2 * n <= 64 * len(x) and (64 * len(x) < 4 * n or n <= 32) for n, x in zip(sets.count, signs, strict=True))
+    grams = [set(sets.gram[sets.first[i] : sets.first[i + 1]].tolist()) for i in range(len(texts))]
+    pairs = [(i, j) for i in range(1, len(texts)) for j in range(i + 1, len(texts)) if 100 * min(len(grams[i]), len(grams[j])) >= 80 * max(len(grams[i]), len(grams[j]))]
+    rows = [(i, j, len(grams[i]), len(grams[j]), signs[i], signs[j]) for i, j in pairs]
+    df = spark.createDataFrame(rows, "i int, j int, n long, m long, sx array<long>, sy array<long>")
+    kept = {(r.i, r.j) for r in df.where(ngram_jaccard._can_reach(80, "n", "m")).collect()}
+    similar = {(i, j) for i, j in pairs if 180 * len(grams[i] & grams[j]) >= 80 * (len(grams[i]) + len(grams[j]))}
+    assert similar <= kept
+    assert any(len(signs[i]) != len(signs[j]) for i, j in similar)
+    assert not {(i, j) for i, j in kept if not grams[i] & grams[j]}
+
+
 def test_jaccard_of_nothing(spark):
     assert ngram_jaccard.similar_sets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
