@@ -70,8 +70,8 @@ def exact_sum(df: DataFrame, name: str) -> Column:
     1e-18 parts, each added up as bigint and put together as a decimal with 16
     digits after the point. Amounts of 1 or more are taken to 9 digits after the
     point, as what follows is noise of their representation; smaller ones to 18.
-    Values that are not finite count as null. Units beyond the range of bigint
-    raise an overflow.
+    Values that are not finite count as null. A value beyond the range of bigint
+    raises an error, and so does a sum beyond it in ANSI mode (the default).
     """
     data_type = df.schema[name].dataType
     if is_integral(data_type):
@@ -86,7 +86,9 @@ def exact_sum_sql(x: str) -> str:
     finite = f"CASE WHEN abs({x}) < double('Infinity') THEN {x} END"
     nano = f"(({finite}) - floor({finite})) * 1e9D"
     half = f"CASE WHEN abs({x}) >= 1D THEN 0.5D ELSE 0D END"
-    units, nanos = f"sum(floor({finite}))", f"sum(cast(floor({nano} + {half}) AS bigint))"
+    # floor of a double stops at the end of bigint without a word
+    whole_units = f"CASE WHEN abs({x}) >= 9223372036854775807D AND abs({x}) < double('Infinity') THEN cast(raise_error('a value beyond bigint cannot be summed') AS bigint) ELSE floor({finite}) END"
+    units, nanos = f"sum({whole_units})", f"sum(cast(floor({nano} + {half}) AS bigint))"
     attos = f"sum(cast(CASE WHEN abs({x}) < 1D THEN floor(({nano} - floor({nano})) * 1e9D + 0.5D) ELSE 0 END AS bigint))"
     whole, billionths = f"cast({units} AS decimal(19,0))", f"cast({nanos} AS decimal(19,0)) * 0.000000001BD"
     rest = f"cast({attos} AS decimal(19,0)) * cast(0.000000000000000001BD AS decimal(18,18))"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.config import AD_COLUMNS, METRICS, RECOMMENDATION_COLUMNS
+from adtally.config import AD_COLUMNS, AD_SCHEMA, METRICS, RECOMMENDATION_COLUMNS
 from adtally.functions import kpi, text
 from adtally.functions.numeric import round_columns, total
 from adtally.operators import (
@@ -81,6 +81,22 @@ def newest_batch(spark, d):
     return readers.read_latest_batch(spark, path).select(*AD_COLUMNS)
 
 
+@query
+def newest_file(spark, d):
+    """The larger of two single files, written after the smaller one."""
+    path = new_folder(spark, "exports")
+    writers.write_csv(views.ads(spark, d).where("clicks > 100"), f"{path}/first")
+    writers.write_csv(views.ads(spark, d), f"{path}/second", single_file=True)
+    return readers.read_newest_file(spark, f"{path}/*/*.csv", AD_SCHEMA)
+
+
+@query
+def asset_freshness(spark, d):
+    """Whether each table is there, without its age; one is not."""
+    assets = {name: f"{d}/{name}.parquet" for name in ("lineitem", "orders", "no_such_table")}
+    return readers.freshness(spark, assets).select("asset", "exists", F.col("age_minutes").isNull().alias("no_age"))
+
+
 @query
 def typed_scored_ads(spark, d):
     return readers.typed_scored(views.dirty_ads(spark, d).withColumn("quality_score", F.concat("clicks", F.lit(".7"))))
@@ -171,6 +187,25 @@ def stage_run_log(spark, d):
     return runs.select("stage", "status", F.explode("counts").alias("counter", "value"))
 
 
+@query
+def latest_stage(spark, d):
+    out = new_folder(spark, "stages")
+    jobs.run_pipeline(spark, views.ads(spark, d), out, "cleaning")
+    jobs.run_pipeline(spark, views.ads(spark, d), out, "features")
+    last = runlog.latest_status(spark, f"{out}/metadata")
+    return last.select("status", "record.stage", F.col("record.counts")["total_records"].alias("total_records"), F.col("record.counts")["with_cpa"].alias("with_cpa"))
+
+
+@query
+def upload_log_after_append(spark, d):
+    """Entries of two uploads, each with the rows that its rebuild wrote."""
+    log = new_folder(spark, "upload-log")
+    for name, ads in (("all.csv", views.ads(spark, d)), ("facebook.csv", views.ads(spark, d).where("platform = 'Facebook'"))):
+        counts = jobs.rebuild(spark, ads, new_folder(spark, "rebuild"), "20260101")
+        jobs.append_upload_log(jobs.upload_log_row(spark, counts, name, f"uploads/{name}", "analyst", "ann"), log)
+    return spark.read.parquet(log).drop("uploaded_at")
+
+
 @query
 def single_stages(spark, d):
     out = new_folder(spark, "stages")
@@ -193,6 +228,14 @@ def segment_report_csv(spark, d):
     return spark.read.schema(told.schema).option("header", True).csv(path)
 
 
+@query
+def kpi_row_csv(spark, d):
+    """The KPI row as a file of one line below its header."""
+    row = rollups.overall_kpis(views.ads(spark, d))
+    path = writers.write_csv(row, new_folder(spark, "kpi-row"), single_file=True)
+    return spark.read.schema(row.schema).option("header", True).csv(path)
+
+
 # --- KPIs, quality, formats
 
 
@@ -728,7 +771,7 @@ def classifier_train_summary(spark, d):
 
 @query
 def classifier_predictions(spark, d):
-    rows = scored(spark, d)
+    rows = written(scored(spark, d), "scored")
     model = models.train_classifier(rows, new_folder(spark, "model")).model
     return models.predict_effectiveness(model, rows.select("ad_id", *models.CLASSIFIER_FEATURES))
 
@@ -740,7 +783,7 @@ def predictor_train_summary(spark, d):
 
 @query
 def predictor_predictions(spark, d):
-    rows = quality.add_kpis(views.ads(spark, d))
+    rows = written(quality.add_kpis(views.ads(spark, d)), "kpis")
     model = models.train_predictor(rows, new_folder(spark, "model")).model
     return models.predict_conversions(model, rows.select("ad_id", *models.PREDICTOR_FEATURES))
 
@@ -771,7 +814,7 @@ def rule_baseline_metrics(spark, d):
 
 @query
 def model_eval(spark, d):
-    rows = quality.add_kpis(views.ads(spark, d))
+    rows = written(quality.add_kpis(views.ads(spark, d)), "kpis")
     return models.evaluate(rows, models.train_conversion_model(rows, new_folder(spark, "model")))
 
 

@@ -706,6 +706,17 @@ SQL: dict[str, str] = {
 SQL |= {
     "landed_rows": SQL["scan_ads"],
     "newest_batch": SQL["scan_ads"],
+    "newest_file": SQL["scan_ads"],
+    "asset_freshness": "SELECT * FROM (VALUES ('lineitem', true, false), ('orders', true, false), ('no_such_table', false, true)) AS t(asset, \"exists\", no_age)",
+    "latest_stage": q([ADS, KPIS], "SELECT 'READY' AS status, 'feature_engineering' AS stage, count(*) AS total_records, count(cpa) AS with_cpa FROM kpis"),
+    "upload_log_after_append": q(
+        [ADS],
+        """SELECT f.file_name, concat('uploads/', f.file_name) AS file_path, cast(count(*) AS int) AS scored_rows,
+        cast(count(DISTINCT campaign_id || age_group) AS int) AS segment_rows, 'analyst' AS uploader_role, 'ann' AS uploader_name
+        FROM ads JOIN (VALUES ('all.csv', NULL), ('facebook.csv', 'Facebook')) AS f(file_name, own)
+        ON f.own IS NULL OR platform = f.own GROUP BY 1""",
+    ),
+    "kpi_row_csv": SQL["overall_kpis"],
     "single_stages": q([ADS, KPIS], "SELECT ad_id, clicks, cpa FROM kpis"),
     "rebuild_upload": SQL["budget_recommendations"],
     "segment_report_csv": q(

@@ -86,10 +86,15 @@ def read_latest_batch(spark: SparkSession, path: str, batch_column: str = "batch
 
 
 def read_newest_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the CSV file changed last, for folders without batches."""
-    rows = spark.read.schema(schema).option("header", True).csv(path)
-    newest = rows.agg(F.max_by("_metadata.file_path", "_metadata.file_modification_time")).scalar()
-    return rows.where(F.col("_metadata.file_path") == newest)
+    """Rows of the CSV file changed last, for folders without batches; of files changed at once, the last by path.
+
+    The file is chosen from the listing, so no other file is opened. A folder without files gives no rows.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+    newest = listed.orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(newest["path"])
 
 
 def freshness(spark: SparkSession, assets: dict[str, str]) -> DataFrame:

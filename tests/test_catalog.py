@@ -17,6 +17,7 @@ QUICK = [
     "coerce_clip", "clean_required", "row_kpis", "quality_tiered", "batch_quality", "list_ads", "sessions_with_users",
     "campaign_ranking", "perf_segment", "daily_series", "kpi_trends", "ctr_heatmap", "optimization_picks",
     "platform_reallocation", "budget_plan", "dataset_state", "stage_run_log", "rule_baseline_metrics",
+    "newest_file", "asset_freshness", "latest_stage", "upload_log_after_append", "kpi_row_csv",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("ALL_QUERIES") else QUICK
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")

@@ -63,3 +63,12 @@ def test_days_of_late_files_are_whole(spark, make_ads, tmp_path):
         make_ads(*[dict(date=f"2026-{month}-{d:02d}") for d in range(1, 29)]).coalesce(1).write.mode("append").option("header", True).csv(source)
     landing.append_available(landing.stream_ads(spark, source, files_per_batch=1), out, state).awaitTermination()
     assert landing.daily_platform(spark.read.parquet(out)).count() == 84
+
+
+def test_a_value_beyond_bigint_is_no_wrong_sum(spark):
+    df = spark.createDataFrame([(9.2e18,), (float("inf"),), (float("nan"),), (None,)], "x double")
+    assert float(df.agg(exact_sum(df, "x")).first()[0]) == 9.2e18
+    for far in (1e30, -1e30, 2.0**63):
+        rows = df.union(spark.createDataFrame([(far,)], "x double"))
+        with pytest.raises(Exception, match="beyond bigint"):
+            rows.agg(exact_sum(rows, "x")).collect()
