@@ -12,9 +12,9 @@ blocks of columns, and the overlaps of a pair are added up over the blocks.
 
 A column that many sets share would give all pairs among them. Columns of more than
 ``block`` sets instead compare every set with one of them, the column's first set.
-What that leaves in different components is compared with a few other sets of the
-column, and only then with all that sizes and parity signatures leave. No link between
-different components is lost, and no group is paired out.
+What that leaves outside the column's largest component is compared with a few other sets of the
+column, as long as that links enough, and only then with all that sizes and parity signatures leave,
+in parts of a bounded number of sets. No link between different components is lost.
 """
 
 from __future__ import annotations
@@ -40,7 +40,10 @@ SKETCH_BITS, SKETCH_SLICES, FAN_IN = 20, 16, 64
 FILTER_BITS, FILTER_SLICES = 24, 64
 #: Bits of signatures made at a time.
 SIGN_BITS = 1 << 20
-DELEGATES, DELEGATE_ROUNDS = 4, 2
+#: Sets that a star meets in a turn, and turns at most; turns end when one links less than this part of what was left.
+DELEGATES, DELEGATE_ROUNDS, PROGRESS = 16, 3, 0.2
+#: Sets of a star that stand under one key.
+STAR_ROWS = 2_000
 #: Blocks of columns and pairs of a cell in the exact product; entries compared at a time.
 COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 21
 COLUMN_BLOCKS = 1 << COLUMN_BITS
@@ -361,44 +364,66 @@ def _can_reach(percent: int, n: str, m: str) -> Column:
     return (100 + percent) * differ <= (100 - percent) * (F.col(n) + F.col(m))
 
 
-def _met(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components around one hub that may be similar."""
+def _met(x: DataFrame, y: DataFrame, percent: int, keys: list[str]) -> DataFrame:
+    """Pairs of different components with equal ``keys`` that may be similar."""
     close = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    met = x.join(y, "hub").where((F.col("of_x") != F.col("of_y")) & close & _can_reach(percent, "n", "m"))
+    met = x.join(y, keys).where((F.col("of_x") != F.col("of_y")) & close & _can_reach(percent, "n", "m"))
     swap = F.col("x") > F.col("y")
     return met.select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(swap, F.col("m")).otherwise(F.col("n")).alias("na"), F.when(swap, F.col("n")).otherwise(F.col("m")).alias("nb")
     ).distinct()
 
 
+def _dealt(apart: DataFrame, star: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a whole star with keys ``part`` and ``band``, so that no key holds a large star.
+
+    A star is split into parts of about ``STAR_ROWS`` sets, which sets that are apart meet one by
+    one; similar sets lie in the same or the next band of sizes.
+    """
+    width = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
+    band = F.floor(F.log(F.col("n").cast("double")) / width)
+    split = sizes.select("hub", F.ceil(F.col("total") / STAR_ROWS).alias("split"))
+    whole = star.join(split, "hub").select("hub", "x", "n", "of_x", F.pmod(F.xxhash64("x", F.lit(9)), F.col("split")).alias("part"), band.alias("band"))
+    few = apart.join(split, "hub").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split") - 1)))
+    return few.withColumn("band", F.explode(F.sequence(band - 1, band + 1))).select("hub", "x", "n", "of_x", "part", "band"), whole
+
+
 def _join_around_hubs(base: DataFrame, signs: DataFrame, links: DataFrame, verified, percent: int) -> DataFrame:
     """Labels of all links, with those among sets of wide columns that are not linked with the column's first set.
 
     ``base``: hub, x and n of every set x in a wide column of a hub; ``signs``: x and its signature sx,
     which only the rows that meet others carry along.
-    First such a set meets a few others of its star, some of them not linked with the hub either:
-    most find their component there, and the work is linear. The rest meets all sets of other
-    components in the star that sizes and signatures leave. ``verified`` keeps the similar pairs.
+    Sets that are not in the largest component of their star meet a few others of the star, some of them not in
+    it either. Most find their component there, and the work is linear; this is done again as long
+    as it links enough of them. The rest meets all sets of other components in the star that sizes and
+    signatures leave, in parts of a bounded number of sets. ``verified`` keeps the similar pairs.
     """
     labels = connected_components(links)
     other = {"x": "y", "n": "m", "of_x": "of_y", "sx": "sy"}
-    for turn in range(DELEGATE_ROUNDS + 1):
+    turn, before, last = 0, None, False
+    while not last:
         of = labels.withColumnRenamed("node", "x").withColumnRenamed("label", "of_x")
-        of_hub = labels.withColumnRenamed("node", "hub").withColumnRenamed("label", "of_hub")
-        star = base.join(of, "x", "left").join(of_hub, "hub", "left").withColumns({"of_x": F.coalesce("of_x", "x"), "of_hub": F.coalesce("of_hub", "hub")})
-        star = written(star.select("hub", "x", "n", "of_x", "of_hub"), "star")
-        apart = star.where("of_x <> of_hub").drop("of_hub")
-        if apart.isEmpty():
+        star = written(base.join(of, "x", "left").select("hub", "x", "n", F.coalesce("of_x", "x").alias("of_x")), "star")
+        held = star.groupBy("hub", "of_x").agg(F.count("*").alias("held"))
+        sizes = written(held.groupBy("hub").agg(F.sum("held").alias("total"), F.max(F.struct("held", "of_x"))["of_x"].alias("of_most")), "star_sizes")
+        marked = star.join(sizes, "hub")
+        apart = marked.where("of_x <> of_most").select("hub", "x", "n", "of_x")
+        left = apart.count()
+        if not left:
             break
-        if turn < DELEGATE_ROUNDS:
+        last = turn == DELEGATE_ROUNDS or (before is not None and left > (1 - PROGRESS) * before)
+        if last:
+            few, whole = _dealt(apart, star, sizes, percent)
+            met = _met(few.join(signs, "x"), whole.join(signs, "x").withColumnsRenamed(other), percent, ["hub", "part", "band"])
+        else:
             row = F.struct("x", "n", "of_x")
             seeds = range(turn * DELEGATES, (turn + 1) * DELEGATES)
-            chosen = [F.min(F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r"))) for j in seeds]
-            chosen += [F.min(F.when(F.col("of_x") != F.col("of_hub"), F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r")))) for j in seeds]
-            picked = star.groupBy("hub").agg(F.array_compact(F.array(*chosen))["r"].alias("rows")).select("hub", F.explode(F.array_distinct("rows")).alias("r")).select("hub", "r.*")
-        else:
-            picked = star.drop("of_hub")
-        met = written(_met(apart.join(signs, "x"), picked.join(signs, "x").withColumnsRenamed(other), percent), "met")
+            drawn = [F.struct(F.xxhash64("x", F.lit(j)).alias("h"), row.alias("r")) for j in seeds]
+            chosen = [F.min(d) for d in drawn] + [F.min(F.when(F.col("of_x") != F.col("of_most"), d)) for d in drawn]
+            picked = marked.groupBy("hub").agg(F.array_compact(F.array(*chosen))["r"].alias("rows")).select("hub", F.explode(F.array_distinct("rows")).alias("r")).select("hub", "r.*")
+            met = _met(apart.join(signs, "x"), picked.join(signs, "x").withColumnsRenamed(other), percent, ["hub"])
+        turn, before = turn + 1, left
+        met = written(met, "met")
         if met.isEmpty():
             continue
         late = written(verified(met).select("a", "b"), "late")
