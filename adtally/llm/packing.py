@@ -5,11 +5,12 @@
 2. The histogram of lengths, at most one count per length up to the capacity, goes to
    the driver. ``plan_sequences`` chooses configurations (how many pieces of which
    lengths share a sequence) by multiplicative weights: each length has a price that
-   falls as it gets covered, a knapsack dynamic program finds the dearest
-   configuration, and it is taken for half of what its scarcest length still needs.
-   Of configurations that fill a sequence, amounts are rounded down, whole, in part or not at
-   all (``SHARES``, whichever ends with the fewest sequences, so never with more than best
-   fit alone); the pieces left over are placed by best fit, largest length first, again by histogram.
+   falls as it gets covered and rises from epoch to epoch where its sequences were worth too
+   little; a knapsack dynamic program finds the dearest configurations. Their amounts cover
+   every piece, and the prices give a lower bound of the sequences (``Plan.bound``).
+   Amounts are rounded down, and what is left is covered once more in whole numbers.
+   Configurations that are not full enough are given up for best fit, largest length first, again by
+   histogram: none of them, the least full, all but full ones, or all, whichever ends with the fewest sequences.
 3. Every piece gets a number among those of its length (a count per task and length,
    no window over pieces), and the plan's runs turn that number into a sequence and
    an offset. The runs are bounded by the capacity, not by the data.
@@ -18,7 +19,7 @@
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +36,14 @@ from adtally.llm.wordhash import slices
 SLICE_BYTES = 4 << 20
 PIECES = "piece int, start long, length long, ids_crc32 long, block int, nth long"
 PRICE_FALL = 4.0
-#: How much of the fractional amounts is tried when they are rounded.
-SHARES = (1.0, 0.9, 0.75, 0.5, 0.0)
+#: Share of what a configuration could still take that it gets in one round.
+STEP = 0.5
+#: What counts as nothing left of a length.
+COVERED = 1e-3
+#: The program ends within this part of the lower bound, or after so many epochs (rounds); how far prices follow what was lacking.
+GAP, ROUNDS, PRICE_RISE = 0.001, 6, 0.5
+#: How full a sequence must be for its configuration to stay: the choices tried. The last leaves everything to best fit.
+FILLS = (0.0, 0.99, 1.0, 2.0)
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -84,17 +91,35 @@ def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int,
 
 @dataclass
 class Plan:
-    """``runs``: pieces of one length, by number from ``low`` below ``high``, ``each`` to a sequence."""
+    """``runs``: pieces of one length, by number from ``low`` below ``high``, ``each`` to a sequence.
+
+    ``bound``: sequences that any packing needs; ``programmed``: pieces placed by the program's configurations.
+    """
 
     runs: list[tuple[int, int, int, int, int, int]]  # length, low, high, sequence, each, offset
     sequences: int
+    bound: float = 0.0
+    programmed: int = 0
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200) -> Plan:
+def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan:
     lengths = np.array(sorted(histogram), np.int64)
-    left = np.array([histogram[n] for n in lengths.tolist()], np.int64)
-    amounts = _weights(lengths, left, capacity, rounds)
-    uses = min((_rounded(lengths, left, capacity, amounts, share) for share in SHARES), key=lambda x: sum(x.values()))
+    demand = np.array([histogram[n] for n in lengths.tolist()], np.int64)
+    amounts, price, bound = _solved(lengths, demand, capacity, rounds)
+    whole = {config: int(amount) for config, amount in amounts.items() if amount >= 1}
+    more, _ = _cover(lengths, demand - _pieces_of(whole, lengths), capacity, price, whole=True)
+    for config, times in more.items():
+        whole[config] = whole.get(config, 0) + times
+    best, programmed, uses = None, 0, {}
+    for fill in FILLS:
+        full = {config: times for config, times in whole.items() if sum(n * k for n, k in config) >= fill * capacity}
+        left = demand - _pieces_of(full, lengths)
+        rest = _best_fit(lengths, left, capacity)
+        total = sum(full.values()) + sum(times for _, times in rest)
+        if best is None or total < best:
+            best, programmed, uses = total, int(demand.sum() - left.sum()), defaultdict(int, full)
+            for config, times in rest:
+                uses[config] += times
     runs, number, taken = [], 0, dict.fromkeys(lengths.tolist(), 0)
     for config, times in uses.items():
         offset = 0
@@ -103,46 +128,91 @@ def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200)
             taken[n] += times * k
             offset += n * k
         number += times
-    return Plan(runs, number)
+    return Plan(runs, number, bound, programmed)
+
+
+def _pieces_of(uses: dict[tuple, int], lengths: np.ndarray) -> np.ndarray:
+    """How many pieces of each length these configurations take."""
+    flat = [(n, k * times) for config, times in uses.items() for n, k in config]
+    if not flat:
+        return np.zeros(len(lengths), np.int64)
+    n, k = np.array(flat, np.int64).T
+    out = np.zeros(len(lengths), np.int64)
+    np.add.at(out, np.searchsorted(lengths, n), k)
+    return out
 
 
-def _rounded(lengths: np.ndarray, left: np.ndarray, capacity: int, amounts: dict[tuple, float], share: float) -> dict[tuple, int]:
-    """Whole numbers of each configuration that fills a sequence, from ``share`` of its amount; best fit for the rest."""
-    left = left.copy()
-    uses: dict[tuple[tuple[int, int], ...], int] = defaultdict(int)
-    for config, amount in amounts.items():
-        if (times := int(amount * share)) and sum(n * k for n, k in config) == capacity:
-            uses[config] += times
-            for n, k in config:
-                left[np.searchsorted(lengths, n)] -= times * k
-    for config, times in _best_fit(lengths, left, capacity):
-        uses[config] += times
-    return uses
+def _solved(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int) -> tuple[dict[tuple, float], np.ndarray, float]:
+    """Fractional amounts of configurations that cover every piece, the prices they were found by, and a lower bound.
+
+    An epoch covers everything by the dearest configurations. A length that ended in configurations
+    worth less than a sequence was too cheap: its price is multiplied by what they lacked, and the
+    next epoch starts from there. Epochs end when the amounts are within ``GAP`` of the bound, or when one gains less than that.
+    """
+    price = lengths / capacity
+    bound = float((lengths * demand).sum() / capacity)
+    kept, kept_price = {}, price
+    for epoch in range(rounds):
+        amounts, dearest = _cover(lengths, demand, capacity, price)
+        bound = max(bound, float((demand * price).sum() / dearest)) if dearest else bound
+        used, before = sum(amounts.values()), sum(kept.values())
+        if epoch == 0 or used < before:
+            kept, kept_price = amounts, price
+        if min(used, before or used) <= (1 + GAP) * bound or (epoch and used > (1 - GAP) * before):
+            break
+        lack, weight = np.zeros(len(lengths)), np.zeros(len(lengths))
+        for config, amount in amounts.items():
+            at = np.searchsorted(lengths, [n for n, _ in config])
+            each = np.array([k for _, k in config]) * amount
+            lack[at] += each * np.log(max(float((price[at] * [k for _, k in config]).sum()), 1e-9))
+            weight[at] += each
+        price = price * np.exp(-PRICE_RISE * lack / np.maximum(weight, 1e-9))
+    return kept, kept_price, bound
+
 
+def _cover(lengths: np.ndarray, demand: np.ndarray, capacity: int, start: np.ndarray, whole: bool = False) -> tuple[dict[tuple, float], float]:
+    """Amounts of the dearest configurations for all pieces, and what the dearest one is worth at the prices of the start.
 
-def _weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
-    """Fractional amounts of configurations that need no more pieces of a length than there are."""
+    Prices fall with the share that is covered. In a round they are fixed, and its one knapsack
+    table gives the dearest configuration around each length that is still open, the longest first.
+    ``whole`` takes whole numbers only.
+    """
     covered = np.zeros(len(lengths))
-    amounts: dict[tuple, float] = defaultdict(float)
-    for _ in range(rounds):
-        open_ = np.flatnonzero(demand - covered >= 1)
+    amounts: dict[tuple, float] = defaultdict(int if whole else float)
+    dearest = 0.0
+    least = 1 if whole else COVERED
+    while True:
+        open_ = np.flatnonzero(demand - covered >= least)
         if not len(open_):
-            break
-        price = lengths[open_] / capacity * np.exp(-PRICE_FALL * covered[open_] / demand[open_])
-        chosen = open_[_knapsack(lengths[open_], price, capacity)]
-        which, each = np.unique(chosen, return_counts=True)
-        room = float(((demand - covered)[which] / each).min())
-        step = max(room / 2, min(room, 1.0))
-        amounts[tuple(zip(lengths[which].tolist(), each.tolist(), strict=True))] += step
-        covered[which] += step * each
-    return amounts
-
-
-def _knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> list[int]:
-    """Positions in ``lengths``, with repeats, of the dearest pieces that fit together."""
+            return amounts, dearest
+        price = start[open_] * np.exp(-PRICE_FALL * covered[open_] / demand[open_])
+        best, pick = _knapsack(lengths[open_], price, capacity)
+        dearest = dearest or float(best[capacity])
+        size, left = lengths[open_].tolist(), (demand - covered)[open_].tolist()
+        for i in range(len(size) - 1, -1, -1):
+            if left[i] < least:
+                continue
+            config = Counter(_traced(pick, size, capacity - size[i]))
+            config[i] += 1
+            room = min(left[j] / k for j, k in config.items())
+            if room < least:
+                if i < len(size) - 1:
+                    continue
+                # The longest length always goes: alone with what is there of the rest.
+                config = Counter({j: min(k, int(left[j])) if whole else k for j, k in config.items() if left[j] >= least})
+                room = min(left[j] / k for j, k in config.items())
+            step = max(int(room * STEP), 1) if whole else max(room * STEP, min(room, 1.0))
+            amounts[tuple((size[j], k) for j, k in sorted(config.items()))] += step
+            for j, k in config.items():
+                left[j] -= step * k
+        covered[open_] = demand[open_] - np.array(left)
+
+
+def _knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, list[int]]:
+    """For each room the price of the dearest pieces that fit, and one of them: a position in ``lengths``, or -1 for less room."""
     best = np.zeros(capacity + 1)
     pick = np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     for room in range(int(lengths[0]), capacity + 1):
         gain = best[room - lengths[: fits[room]]] + price[: fits[room]]
         i = int(gain.argmax())
@@ -150,13 +220,18 @@ def _knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> list[int
             best[room], pick[room] = gain[i], i
         else:
             best[room] = best[room - 1]
-    chosen, room = [], capacity
+    return best, pick.tolist()
+
+
+def _traced(pick: list[int], lengths: list[int], room: int) -> list[int]:
+    """Positions, with repeats, of the dearest pieces for this room."""
+    chosen = []
     while room > 0:
         if pick[room] < 0:
             room -= 1
         else:
-            chosen.append(int(pick[room]))
-            room -= int(lengths[pick[room]])
+            chosen.append(pick[room])
+            room -= lengths[pick[room]]
     return chosen
 
 
@@ -182,7 +257,7 @@ def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tupl
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text", rounds: int = 200
+    docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS
 ) -> DataFrame:
     """One row per piece with its sequence and place there; sequences hold at most ``capacity`` ids.
 

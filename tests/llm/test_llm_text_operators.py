@@ -118,6 +118,19 @@ def test_plans_are_never_worse_than_best_fit(low, high):
     assert sum((h - lo) * n for n, lo, h, *_ in plan.runs) == int((lengths * counts).sum())
 
 
+def test_configurations_that_are_not_full_count_and_the_bound_holds():
+    import numpy as np
+
+    histogram = {1025: 1200, 513: 1200, 512: 1200, 342: 1200, 341: 1200}
+    plan = packing.plan_sequences(histogram, 2048)
+    lengths = np.array(sorted(histogram))
+    best_fit = sum(times for _, times in packing._best_fit(lengths, np.array([histogram[n] for n in lengths.tolist()]), 2048))
+    assert plan.bound <= plan.sequences < best_fit and plan.programmed > 0
+    # a 7 leaves room for one 3, and what is left of the 3s stands in threes: 50 + 17
+    exact = packing.plan_sequences({3: 100, 7: 50}, 10)
+    assert exact.sequences == 67 and 65 <= exact.bound <= 67
+
+
 def test_language_is_learned_and_odd_texts_have_none(spark, odd, empty):
     words = {"en": "the and of with that", "fr": "les des une avec est", "de": "der die und ist nicht"}
     train = spark.createDataFrame([(i, " ".join([w[i % 5], *w]), lang) for lang, t in words.items() for w in [t.split()] for i in range(10)], "doc_id long, text string, lang string")
