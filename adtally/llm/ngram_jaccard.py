@@ -14,7 +14,8 @@ A column that many sets share would give all pairs among them. Columns of more t
 ``block`` sets instead compare every set with one of them, the column's first set.
 What that leaves in different components is compared with a few other sets of the
 column, and only then with all that sizes and parity signatures leave. No link between
-different components is lost, and no group is paired out.
+different components is lost, and no group is paired out. Many pairs are multiplied out in turns,
+each set's strongest first: what lies in one component by then needs no product.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,8 @@ FILTER_BITS, FILTER_SLICES = 24, 64
 #: Bits of signatures made at a time.
 SIGN_BITS = 1 << 20
 DELEGATES, DELEGATE_ROUNDS = 4, 2
+#: More pairs than ``FEW_PAIRS`` are multiplied out in turns: each set's strongest pair, at most so often, then all the rest.
+FEW_PAIRS, STRONGEST_TURNS = 10_000, 3
 #: Blocks of columns and pairs of a cell in the exact product; entries compared at a time.
 COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 21
 COLUMN_BLOCKS = 1 << COLUMN_BITS
@@ -338,6 +342,37 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counts.groupBy("a", "b", "na", "nb").agg(F.sum("i").alias("i"))
 
 
+def _strongest(pairs: DataFrame) -> DataFrame:
+    """Of each set's pairs the one of most ``weight`` (the smallest partner among equals): at most as many pairs as sets."""
+    rest = [F.col(c) for c in ("na", "nb")]
+    ends = [pairs.select(F.col(x).alias("node"), F.struct((-F.col("weight")).alias("w"), F.col(y).alias("other"), "a", "b", *rest).alias("pair")) for x, y in (("a", "b"), ("b", "a"))]
+    return ends[0].union(ends[1]).groupBy("node").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b", "pair.na", "pair.nb").distinct()
+
+
+def _similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | None = None) -> DataFrame:
+    """Similar pairs that connect all sets which ``links`` and the similar ones of ``pairs`` connect.
+
+    A pair inside a component adds nothing to it. So a large group of near copies, whose sets each meet many hubs,
+    takes about one product a set; every pair between components is multiplied out.
+    """
+    found = []
+    for turn in range(STRONGEST_TURNS + 1):
+        last = turn == STRONGEST_TURNS or pairs.count() <= FEW_PAIRS
+        asked = pairs if last else written(_strongest(pairs), "strongest")
+        similar = written(_overlaps(asked.select("a", "b", "na", "nb"), sets).where(_reach(F.col("i"), percent)).select("a", "b"), "similar")
+        found.append(similar)
+        if last:
+            break
+        links = similar if links is None else links.union(similar)
+        labels = connected_components(links)
+        of_a, of_b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")) for c in ("a", "b"))
+        apart = pairs.join(asked.select("a", "b"), ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+        pairs = written(apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select(*pairs.columns), "rest")
+        if pairs.isEmpty():
+            break
+    return reduce(DataFrame.union, found)
+
+
 def _folded(signs: Column, words: Column, halvings: int) -> Column:
     """``signs`` brought to ``words`` words: a signature of half the width is its halves' exclusive or."""
     for k in reversed(range(halvings)):
@@ -378,7 +413,8 @@ def _join_around_hubs(base: DataFrame, signs: DataFrame, links: DataFrame, verif
     which only the rows that meet others carry along.
     First such a set meets a few others of its star, some of them not linked with the hub either:
     most find their component there, and the work is linear. The rest meets all sets of other
-    components in the star that sizes and signatures leave. ``verified`` keeps the similar pairs.
+    components in the star that sizes and signatures leave. ``verified`` keeps the similar
+    pairs that connect what ``links`` has not.
     """
     labels = connected_components(links)
     other = {"x": "y", "n": "m", "of_x": "of_y", "sx": "sy"}
@@ -401,7 +437,7 @@ def _join_around_hubs(base: DataFrame, signs: DataFrame, links: DataFrame, verif
         met = written(_met(apart.join(signs, "x"), picked.join(signs, "x").withColumnsRenamed(other), percent), "met")
         if met.isEmpty():
             continue
-        late = written(verified(met).select("a", "b"), "late")
+        late = written(verified(met.withColumn("weight", F.lit(0)), links), "late")
         if not late.isEmpty():
             links = links.union(late)
             labels = connected_components(links)
@@ -435,21 +471,21 @@ def similar_sets(
     pairs = shared.where("a <> b").join(in_a, "a", "left").join(in_b, "b", "left")
     most = F.col("few") + F.least(F.coalesce("wide_a", F.lit(0)), F.coalesce("wide_b", F.lit(0)))
     possible = F.least(most + F.greatest(_rest("na", percent), _rest("nb", percent)), F.col("na"), F.col("nb"))
-    chosen = written(pairs.where((F.col("many") > 0) | _reach(possible, percent)).select("a", "b", "na", "nb", "many"), "pairs")
+    chosen = written(pairs.where((F.col("many") > 0) | _reach(possible, percent)).select("a", "b", "na", "nb", "many", (F.col("few") + F.col("many")).alias("weight")), "pairs")
 
     signs = written(made.where("set_id is not null").groupBy("set_id").agg(F.first("signs").alias("signs")), "signs")
     sx, sy = (signs.select(F.col("set_id").alias(c), F.col("signs").alias(n)) for c, n in (("a", "sx"), ("b", "sy")))
     likely = chosen.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).join(sx, "a").join(sy, "b").where(_can_reach(percent, "na", "nb"))
-    likely = written(likely.select("a", "b", "na", "nb"), "likely")
+    likely = written(likely.select("a", "b", "na", "nb", "weight"), "likely")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Those pairs whose full sets are similar."""
+    def verified(pairs: DataFrame, links: DataFrame | None = None) -> DataFrame:
+        """Pairs whose full sets are similar, as many as connect what all of them connect."""
         needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         holders = cards.where("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key")).join(needed, "set_id")
         sets = written(_full_sets(rows.select("key", "text"), size, holders.select("key")), "sets")
-        return _overlaps(pairs, sets).where(_reach(F.col("i"), percent))
+        return _similar_pairs(pairs, sets, percent, links)
 
-    links = written(verified(likely).select("a", "b"), "similar")
+    links = written(verified(likely), "links")
     base = chosen.where("many > 0").select(F.col("a").alias("hub"), F.col("b").alias("x"), F.col("nb").alias("n"))
     labels = _join_around_hubs(base, signs.select(F.col("set_id").alias("x"), F.col("signs").alias("sx")), links, verified, percent)
 

@@ -82,6 +82,24 @@ def test_jaccard_components_match_all_pairs(spark, block):
         assert kept.columns == df.columns and kept.count() == groups + blank
 
 
+def test_near_copies_take_about_one_product_a_set(spark, monkeypatch):
+    """One large group of near copies: no turn before the last multiplies out more pairs than there are sets."""
+    rng = random.Random(11)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(120)], []
+    for i in range(150):
+        x = list(base)
+        for _ in range(rng.randint(0, 3)):
+            x[rng.randrange(len(x))] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(x)))
+    rows += [(200 + i, t) for i, t in noisy_copies()]
+    asked, overlaps = [], ngram_jaccard._overlaps
+    monkeypatch.setattr(ngram_jaccard, "FEW_PAIRS", 0, raising=False)
+    monkeypatch.setattr(ngram_jaccard, "_overlaps", lambda pairs, sets: asked.append(pairs.count()) or overlaps(pairs, sets))
+    got = ngram_jaccard.similar_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == linked(rows)[0]
+    assert sum(asked) <= 2 * len({t for _, t in rows})
+
+
 def test_signatures_never_differ_more_than_the_sets(spark):
     """Sets of 1 to 3,000 n-grams: folded signatures bound the difference from below, and tell unlike large sets apart."""
     rng = random.Random(5)
