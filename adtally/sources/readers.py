@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ RECOMMENDATION_WHOLE = ["ads_count"]
 # --- end of fixed values
 
 CORRUPT = "_corrupt_record"
+#: A part of a Spark write: its number, then the id that all parts of the write share.
+SPARK_PART = re.compile(r"part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 
 
 def read_ads_csv(spark: SparkSession, path: str | list[str], keep_corrupt: bool = False) -> DataFrame:
@@ -88,13 +91,18 @@ def read_latest_batch(spark: SparkSession, path: str, batch_column: str = "batch
 def read_newest_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of the CSV file changed last, for folders without batches; of files changed at once, the last by path.
 
-    The file is chosen from the listing, so no other file is opened. A folder without files gives no rows.
+    The file is chosen from the listing, so no other file is opened. Parts that one Spark write left in a
+    folder (``part-<number>-<id of the write>``) are one file. A folder without files gives no rows.
     """
     listed = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
     newest = listed.orderBy(F.desc("modificationTime"), F.desc("path")).first()
     if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("header", True).csv(newest["path"])
+    reader = spark.read.schema(schema).option("header", True)
+    folder, _, name = newest["path"].rpartition("/")
+    if part := SPARK_PART.match(name):
+        return reader.option("pathGlobFilter", f"part-*-{part[1]}*").csv(folder)
+    return reader.csv(newest["path"])
 
 
 def freshness(spark: SparkSession, assets: dict[str, str]) -> DataFrame:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +60,16 @@ def test_newest_file_and_lineage(spark, tmp_path):
     assert sorted((r.ad_id, r.source_file) for r in landed) == [(0, "old.csv"), (1, "new.csv")]
 
 
+def test_newest_file_of_many_parts(spark, ads, tmp_path):
+    """The parts of the newest write are one file, parts that an earlier write left beside them are none of it."""
+    old, path = ads.limit(1).withColumn("ad_id", F.lit(-1).cast("bigint")), str(tmp_path / "x")
+    old.write.option("header", True).csv(path)
+    os.utime(next((tmp_path / "x").glob("*.csv")), (1_700_000_000,) * 2)
+    ads.repartition(3, "ad_id").write.mode("append").option("header", True).csv(path)
+    got = readers.read_newest_file(spark, f"{tmp_path}/*/*.csv", AD_SCHEMA)
+    assert sorted(r.ad_id for r in got.collect()) == sorted(r.ad_id for r in ads.collect())
+
+
 def test_landing_copies_under_the_uploaded_name(spark, tmp_path):
     source = tmp_path / "x.csv"
     source.write_text(",".join(AD_COLUMNS) + "\n1,C,2026-04-01,P,A,1,1,1,1,1\n")
