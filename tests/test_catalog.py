@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from adtally.plans import catalog
 
 DATA = Path("/root/testdata/sf0.001")
 QUICK = [
@@ -64,3 +65,9 @@ def test_entry_schema(spark):
 def test_other_queries_stay_when_a_package_of_the_training_data_operators_is_missing(gone):
     code = f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as e; from adtally.plans.catalog import QUERIES; assert e.queries() == QUERIES and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, check=True)
+
+
+def test_repaired_ads_are_parsed_once(spark):
+    """What reads them reads numbers, not the text they were made of."""
+    files = catalog.repaired(spark, str(DATA)).inputFiles()
+    assert files and all("/repaired-" in f for f in files)
