@@ -146,6 +146,26 @@ def test_classifier_learns_the_labels_and_survives_saving(scored, tmp_path):
         assert sum(r.probabilities.values()) == pytest.approx(1) and r.confidence == max(r.probabilities.values())
 
 
+def test_classifier_taught_by_cells(scored, tmp_path):
+    """Rows counted per cell of bins teach the labels as well as rows do; repeats change nothing but weights."""
+    many = scored.crossJoin(scored.sparkSession.range(100).select())
+    trained = models.train_classifier(many, str(tmp_path), cells_beyond=1000)
+    assert trained.summary["records_used"] == many.count() == 8000
+    assert type(trained.model.stages[0]).__name__ == "Bucketizer"
+    rows = models.predict_effectiveness(models.load(str(tmp_path)), scored.select("ad_id", "quality_label", *models.CLASSIFIER_FEATURES)).collect()
+    level = {"good": "high", "average": "medium", "bad": "low"}
+    assert np.mean([level[r.quality_label] == r.prediction_label for r in rows]) > 0.8
+    assert all(sum(r.probabilities.values()) == pytest.approx(1) for r in rows)
+
+
+def test_scores_are_written_once(scored, tmp_path, monkeypatch):
+    names, written = [], models.written
+    model = models.train_conversion_model(scored, str(tmp_path / "m"))
+    monkeypatch.setattr(models, "written", lambda df, name: names.append(name) or written(df, name))
+    models.evaluate(scored, model)
+    assert names == ["scores"]
+
+
 def test_one_class_only(scored, tmp_path):
     rows = scored.withColumn("quality_label", F.lit("bad"))
     model = models.train_classifier(rows, str(tmp_path)).model
