@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.pretokens import Pieces, cut_long
-from adtally.llm.store import written
+from adtally.llm.store import map_batches, written
 from adtally.llm.wordhash import slices
 
 LONGEST = 5
 BACKOFF = 0.4
 EVIDENCE = 20.0
 CACHE_WORDS = 150_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 
 
@@ -91,8 +91,8 @@ def fit(labelled: DataFrame, id_column: str, text_column: str, lang_column: str,
     total = labelled.where(F.col(lang_column).isNotNull()).count()
     share = min(1.0, sample_rows / max(total, 1))
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text", "lang")
-    counted = written(sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    spelled = counted.mapInArrow(_count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = written(map_batches(sample, _count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    spelled = map_batches(counted, _count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def top(df: DataFrame, by: list, name: str, most: int) -> DataFrame:
         order = Window.partitionBy(*by).orderBy(F.desc("n"), name)
@@ -206,5 +206,5 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     columns = [id_column] if keep is None else keep
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(text_column).alias("_text"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    out = rows.mapInArrow(run, f"{schema}, lang_pred string, score double" if schema else "lang_pred string, score double")
+    out = map_batches(rows, run, f"{schema}, lang_pred string, score double" if schema else "lang_pred string, score double")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "lang_pred", "score")

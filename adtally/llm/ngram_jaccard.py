@@ -33,11 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.components import connected_components
-from adtally.llm.repeats import map_rows
-from adtally.llm.store import parts_for, text_megabytes, written
-from adtally.llm.wordhash import Words, mix, pack64, slices, text_bytes, unpack, window_hashes
+from adtally.llm.repeats import each_batch
+from adtally.llm.store import map_batches, parts_for, text_megabytes, written
+from adtally.llm.wordhash import Words, give_back, mix, pack64, slices, text_bytes, unpack, window_hashes
 
 BLOCK = 16
+#: Bytes of text whose sets are made at a time: for cards, and for columns, which travel by slice.
+CARD_BYTES, COLUMN_BYTES = 1 << 20, 2 << 20
 SKETCH_BITS, SKETCH_SLICES, FAN_IN = 20, 16, 64
 FILTER_BITS, FILTER_SLICES = 24, 64
 #: Bits of signatures made at a time.
@@ -46,7 +48,7 @@ DELEGATES, DELEGATE_ROUNDS = 4, 2
 #: More pairs than ``FEW_PAIRS`` are multiplied out in turns: each set's strongest pair, at most so often, then all the rest.
 FEW_PAIRS, STRONGEST_TURNS = 10_000, 3
 #: Blocks of columns and pairs of a cell in the exact product; entries compared at a time.
-COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 21
+COLUMN_BITS, CELL_PAIRS, CELL_ENTRIES = 3, 20_000, 1 << 19
 COLUMN_BLOCKS = 1 << COLUMN_BITS
 PERCENT = 80
 U64 = np.uint64
@@ -117,7 +119,7 @@ def _cards(rows: DataFrame, size: int, id_type: str) -> DataFrame:
         kind = None
         for batch in batches:
             kind = batch.schema.field("id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", CARD_BYTES):
                 sets = Sets(part.column("text"), size)
                 sketch += np.bincount((sets.gram >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
                 none, n = pa.nulls(len(part), pa.int32()), len(part)
@@ -131,7 +133,7 @@ def _cards(rows: DataFrame, size: int, id_type: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["id", "key", "n", "set_id", "signs", "slice", "block", "data"]
-    return rows.mapInArrow(run, f"id {id_type}, key long, n long, set_id long, signs array<long>, slice int, block int, data binary")
+    return map_batches(rows, run, f"id {id_type}, key long, n long, set_id long, signs array<long>, slice int, block int, data binary")
 
 
 def _sum_sketches(group: pd.DataFrame) -> pd.DataFrame:
@@ -158,7 +160,7 @@ def _columns(rows: DataFrame, size: int, percent: int, parts: int, levels) -> Da
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         level = levels.value
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", COLUMN_BYTES):
             sets = Sets(part.column("text"), size)
             _, one = np.unique(sets.print, return_index=True)
             once = np.zeros(len(part), bool)
@@ -180,13 +182,13 @@ def _columns(rows: DataFrame, size: int, percent: int, parts: int, levels) -> Da
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "gram", "set_id", "n", "size"])
 
-    return map_rows(rows, "part int, gram binary, set_id binary, n binary, size binary", step)
+    return map_batches(rows, each_batch(step), "part int, gram binary, set_id binary, n binary, size binary")
 
 
 def _multiply(percent: int, most: int):
     """Product of one block of columns: pairs of sets with the number of columns they share."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def product(group: pd.DataFrame) -> pd.DataFrame:
         def joined(column, kind):
             return np.concatenate([unpack(b, kind) for b in group[column]])
 
@@ -223,6 +225,11 @@ def _multiply(percent: int, most: int):
         pairs = pairs.drop(pairs.index[: len(pairs) - len(member)][(pairs["a"].to_numpy() == pairs["b"].to_numpy())[: len(pairs) - len(member)]])
         return pairs.groupby(["a", "b", "na", "nb"], as_index=False, sort=False).sum()
 
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        out = product(group)
+        give_back()
+        return out
+
     return run
 
 
@@ -267,7 +274,7 @@ def _full_sets(rows: DataFrame, size: int, keys: DataFrame) -> DataFrame:
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         slot = batch.column("slot").to_numpy()
         wanted = (shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-        for part in slices(batch.filter(pa.array(wanted.astype(bool))), "text"):
+        for part in slices(batch.filter(pa.array(wanted.astype(bool))), "text", COLUMN_BYTES):
             sets = Sets(part.column("text"), size)
             # n-grams of a set are in order: a block is a stretch of them
             stretch = sets.owner * COLUMN_BLOCKS + (sets.gram >> U64(64 - COLUMN_BITS)).astype(np.int64)
@@ -278,7 +285,7 @@ def _full_sets(rows: DataFrame, size: int, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(sets.print[sets.owner[start]]), pa.array((stretch[start] % COLUMN_BLOCKS).astype(np.int32)), grams], ["set_id", "columns", "grams"])
 
     picked = rows.select(_slot(F.col("key")).alias("slot"), "text")
-    return map_rows(picked, "set_id long, columns int, grams binary", step)
+    return map_batches(picked, each_batch(step), "set_id long, columns int, grams binary")
 
 
 def _cells(pairs: DataFrame) -> DataFrame:

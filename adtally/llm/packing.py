@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.bpe import id_encoder
-from adtally.llm.store import written
+from adtally.llm.store import map_batches, written
 from adtally.llm.wordhash import slices
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 PIECES = "piece int, start long, length long, ids_crc32 long, block int, nth long"
+RUNS = ["length", "low", "high", "sequence", "each", "place"]
 PRICE_FALL = 4.0
 #: Share of what a configuration could still take that it gets in one round.
 STEP = 0.5
@@ -86,7 +87,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int,
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, {PIECES}")
+    return map_batches(rows, run, f"id {kind}, {PIECES}")
 
 
 @dataclass
@@ -273,7 +274,8 @@ def pack_documents(
     # One row for each length and task; the window's groups hold one row per task.
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    runs = spark.createDataFrame(plan.runs, "length long, low long, high long, sequence long, each long, place long")
+    # As an Arrow table the runs are a local relation; a list of rows would start Python workers of its own on the executors.
+    runs = spark.createDataFrame(pa.table([pa.array(x, pa.int64()) for x in zip(*plan.runs, strict=True)] or [pa.array([], pa.int64())] * len(RUNS), RUNS))
     numbered = pieces.join(base, ["length", "block"]).withColumn("number", F.col("base") + F.col("nth"))
     placed = numbered.join(F.broadcast(runs), "length").where("number >= low and number < high")
     within = F.col("number") - F.col("low")

@@ -101,11 +101,16 @@ def places(packed_places: list[bytes] | None) -> np.ndarray:
     return np.frombuffer(b"".join(packed_places or []), np.uint32).astype(np.int64)
 
 
-def map_rows(df: DataFrame, schema: str, step) -> DataFrame:
-    """``step`` turns each batch of rows into an iterator of batches."""
+def each_batch(step):
+    """The mapping over a task's batches that ``step`` makes of one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from step(batch)
 
-    return df.mapInArrow(run, schema)
+    return run
+
+
+def map_rows(df: DataFrame, schema: str, step) -> DataFrame:
+    """``step`` turns each batch of rows into an iterator of batches."""
+    return df.mapInArrow(each_batch(step), schema)

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adtally.llm.store import map_batches
 from adtally.llm.wordhash import slices
 
 KINDS = ["assign", "access", "hex", "github", "npm", "pgp"]
@@ -146,7 +147,7 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     id_type = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, spans array<struct<kind:string,start:long,end:long>>").withColumnRenamed("id", id_column)
+    return map_batches(rows, run, f"id {id_type}, spans array<struct<kind:string,start:long,end:long>>").withColumnRenamed("id", id_column)
 
 
 def redact_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -159,4 +160,4 @@ def redact_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
                 texts = [t if t is None else redact(t, find_secrets(t)) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -8,6 +8,7 @@ modulo 2**64 over random byte values, finished by a mixing step; two seeds give
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,6 +63,22 @@ def _separators(kind: str) -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's way to return freed memory, if it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system: workers serve many stages, and wait between them."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about ``limit`` text bytes; a longer text comes alone."""
     text = batch.column(column)
