@@ -5,8 +5,8 @@ together, the text is cut into groups: each document has a dictionary from end t
 for either side, the intersection of their keys, sorted, slices both id lists, and every slice
 expands into its links (pairs of tokens whose byte ranges overlap).
 
-1. ``align_slices``: a task tokenizes a slice of rows and writes it as one row: per document its
-   counts and its distinct id pairs as places in the slice's list of distinct pairs.
+1. ``align_slices``: a task tokenizes a slice of rows, portion by portion, and writes it as one row:
+   per document its counts and its distinct id pairs as places in the slice's list of distinct pairs.
 2. Document counts of id pairs are summed over slices, one row per slice and pair; an id's best
    count is looked up in a table of at most one row per id of A.
 3. The slice's own pairs travel back with their counts, and its documents are scored there. No
@@ -28,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.bpe import byte_letters, id_encoder, read_vocabulary
-from adtally.llm.store import written
-from adtally.llm.wordhash import slices
+from adtally.llm.store import map_batches, written
+from adtally.llm.wordhash import pack64, slices, unpack
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Texts that are aligned at once: a task holds some hundred bytes for each of their bytes.
+PORTION_BYTES = 1 << 19
 BATCH_BYTES = 1 << 19
+#: Slices that are read back at once: readers hold a whole row group of them.
+SLICES_AT_ONCE = 4
 LOW = (1 << 32) - 1
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -186,6 +190,37 @@ class Aligned:
         return out
 
 
+def _portion(part: pa.RecordBatch, encoders, groups: bool) -> tuple:
+    """Of some documents: distinct id pairs, documents that hold each, and by document the pairs it has as
+    places in the first; ``[times, n_a, n_b, n_groups, n_links, n_entries]``; ``[sha, groups]``."""
+    made = Aligned([t or "" for t in part.column("text").to_pylist()], encoders)
+    pair, doc = made.links()
+    # Ids of A and B take 16 bits each, so that plain numbers sort for documents and pairs at once.
+    entry, times = np.unique((doc << 32) | (pair >> 32 << 16) | (pair & LOW), return_counts=True)
+    distinct, entry_pair = np.unique(entry & LOW, return_inverse=True)
+    distinct = (distinct >> 16 << 32) | (distinct & 0xFFFF)
+    entries = np.bincount(entry >> 32, minlength=len(made.doc))
+    held = np.bincount(entry_pair, minlength=len(distinct))
+    texts, sha = [""] * made.n, [""] * made.n
+    for i, text in zip(made.doc.tolist(), made.group_texts(), strict=True):
+        sha[i] = hashlib.sha256(text).hexdigest()
+        if groups:
+            texts[i] = text.decode()
+    numbers = [made.spread(x) for x in (made.count_a, made.count_b, made.groups, made.count_a + made.count_b - made.groups, entries)]
+    return distinct, held, entry_pair.astype(np.int32), [times.astype(np.int32), *numbers], [sha, texts]
+
+
+def _merged(made: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of all portions, documents that hold each, and the places of ``entry_pair`` among them."""
+    pairs = np.unique(np.concatenate([m[0] for m in made]))
+    held, places = np.zeros(len(pairs), np.int64), []
+    for distinct, count, entry_pair in made:
+        at = np.searchsorted(pairs, distinct).astype(np.int32)
+        held[at] += count
+        places.append(at[entry_pair])
+    return pairs, held, np.concatenate(places)
+
+
 def align_slices(docs: DataFrame, vocabulary_a: str, model_b: str, id_column: str = "doc_id", text_column: str = "text", groups: bool = False) -> DataFrame:
     """One row per slice of documents: counts and groups of each, and its id pairs (see the module)."""
     kind = docs.schema[id_column].dataType.simpleString()
@@ -196,29 +231,19 @@ def align_slices(docs: DataFrame, vocabulary_a: str, model_b: str, id_column: st
         number = (context.partitionId() if context else 0) << 32
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                made = Aligned([t or "" for t in part.column("text").to_pylist()], encoders)
-                pair, doc = made.links()
-                # Ids of A and B take 16 bits each, so that plain numbers sort for documents and pairs at once.
-                entry, times = np.unique((doc << 32) | (pair >> 32 << 16) | (pair & LOW), return_counts=True)
-                distinct, entry_pair = np.unique(entry & LOW, return_inverse=True)
-                distinct = (distinct >> 16 << 32) | (distinct & 0xFFFF)
-                entries = np.bincount(entry >> 32, minlength=len(made.doc))
-                held = np.bincount(entry_pair, minlength=len(distinct))
-                texts, sha = [""] * made.n, [""] * made.n
-                for i, text in zip(made.doc.tolist(), made.group_texts(), strict=True):
-                    sha[i] = hashlib.sha256(text).hexdigest()
-                    if groups:
-                        texts[i] = text.decode()
-                numbers = [made.spread(x) for x in (made.count_a, made.count_b, made.groups, made.count_a + made.count_b - made.groups, entries)]
-                columns = [pa.array([number], pa.int64()), _one(part.column("id")), *(_one(pa.array(x)) for x in numbers), _one(pa.array(sha, pa.string()))]
-                columns += [_one(pa.array(texts, pa.string())), _one(pa.array(distinct)), _one(pa.array(held)), _one(pa.array(entry_pair.astype(np.int32))), _one(pa.array(times.astype(np.int32)))]
+                made = [_portion(p, encoders, groups) for p in slices(part, "text", PORTION_BYTES)]
+                pairs, held, entry_pair = _merged([m[:3] for m in made])
+                times, *numbers = (np.concatenate(x) for x in zip(*(m[3] for m in made), strict=True))
+                columns = [pa.array([number], pa.int64()), _one(part.column("id")), *(_one(pa.array(x)) for x in numbers)]
+                columns += [_one(pa.array(list(chain.from_iterable(x)), pa.string())) for x in zip(*(m[4] for m in made), strict=True)]
+                columns += [_one(pa.array(pairs)), _one(pa.array(held)), *(pa.array([pack64(x)], pa.binary()) for x in (entry_pair, times))]
                 yield pa.RecordBatch.from_arrays(columns, names)
                 number += 1
 
     names = ["slice", "ids", *COUNTS, "n_entries", "sha", "groups", "pairs", "held", "entry_pair", "entry_times"]
-    schema = f"slice long, ids array<{kind}>, {', '.join(f'{c} array<long>' for c in (*COUNTS, 'n_entries'))}, sha array<string>, groups array<string>, pairs array<long>, held array<long>, entry_pair array<int>, entry_times array<int>"
+    schema = f"slice long, ids array<{kind}>, {', '.join(f'{c} array<long>' for c in (*COUNTS, 'n_entries'))}, sha array<string>, groups array<string>, pairs array<long>, held array<long>, entry_pair binary, entry_times binary"
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def _one(values) -> pa.Array:
@@ -236,7 +261,7 @@ def _score(rated: pa.Table, part: pa.Table) -> pa.Table:
     where = rated.column("place").to_numpy()
     count, best = np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
     count[where], best[where] = rated.column("n").to_numpy(), rated.column("top").to_numpy().astype(np.int64)
-    pair, times = (_list(part, c).to_numpy().astype(np.int64) for c in ("entry_pair", "entry_times"))
+    pair, times = (unpack(part.column(c)[0].as_py(), np.int32).astype(np.int64) for c in ("entry_pair", "entry_times"))
     stop = np.concatenate([[0], np.cumsum(_list(part, "n_entries").to_numpy())])
     n_best, count_sum = (np.diff(np.concatenate([[0], np.cumsum(times * v[pair])])[stop]) for v in (best, count))
     columns = [_list(part, "ids"), *(_list(part, c) for c in COUNTS), pa.array(n_best), pa.array(count_sum), _list(part, "sha"), _list(part, "groups")]
@@ -254,7 +279,7 @@ def align_tokens(docs: DataFrame, vocabulary_a: str, model_b: str, id_column: st
     empty table gives no rows; other columns are not read.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    made = written(align_slices(docs, vocabulary_a, model_b, id_column, text_column, groups), "aligned")
+    made = written(align_slices(docs, vocabulary_a, model_b, id_column, text_column, groups), "aligned", SLICES_AT_ONCE)
     pairs = made.select("slice", F.posexplode(F.arrays_zip("pairs", "held")).alias("place", "x")).select("slice", "place", F.col("x.pairs").alias("pair"), F.col("x.held").alias("held"))
     counts = written(pairs.groupBy("pair").agg(F.sum("held").alias("n")), "pair-counts")
     id_a = F.shiftright("pair", 32)
